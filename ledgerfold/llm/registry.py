@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, mixing
+from . import ann, decontam, langid, mixing
 
 
 def queries() -> dict:
     return {
         "op1_mix": mixing.op1_mix,
         "op2_language": langid.op2_language,
+        "op5_neighbours": ann.op5_neighbours,
         "op7_decontaminate": decontam.op7_decontaminate,
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, mixing
+from . import ann, decontam, langid, lines, mixing, pii
 
 
 def queries() -> dict:
@@ -11,8 +11,10 @@ def queries() -> dict:
         "op2_language": langid.op2_language,
         "op5_neighbours": ann.op5_neighbours,
         "op7_decontaminate": decontam.op7_decontaminate,
+        "op9_pii": pii.op9_pii,
+        "op10_lines": lines.op10_lines,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.mix_sql()}
+    return {"op1_mix": mixing.mix_sql(), "op10_lines": lines.lines_sql()}

@@ -175,8 +175,10 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def learn(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model:
     """Fits on the bounded sample described above; documents that are held out have no part."""
     own = fields(docs, "doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
-    ids = own.dropDuplicates(["lang", "doc_id"]).withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= per_lang)
+    ids = own.distinct().withColumn("h", F.xxhash64("doc_id", F.lit(5)))
+    for salted in (F.pmod("h", F.lit(1024)), F.lit(0)):  # the lowest of a part first, so no language is one group in one task
+        lowest = Window.partitionBy("lang", salted).orderBy(F.shiftright("h", 10), "h", "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= per_lang)
     picked = {r["doc_id"] for r in ids.select("doc_id").collect()}  # per_lang for each language
     if not picked:
         return Model({})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, lines, mixing, pii
+from . import ann, decontam, langid, lines, minhash, mixing, pii
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_mix": mixing.op1_mix,
         "op2_language": langid.op2_language,
         "op5_neighbours": ann.op5_neighbours,
+        "op6_minhash": minhash.op6_minhash,
         "op7_decontaminate": decontam.op7_decontaminate,
         "op9_pii": pii.op9_pii,
         "op10_lines": lines.op10_lines,

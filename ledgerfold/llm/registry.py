@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, lines, minhash, mixing, pii
+from . import ann, decontam, langid, lines, minhash, mixing, pii, substrings, suffixes
 
 
 def queries() -> dict:
     return {
         "op1_mix": mixing.op1_mix,
         "op2_language": langid.op2_language,
+        "op4_suffixes": suffixes.op4_suffixes,
         "op5_neighbours": ann.op5_neighbours,
         "op6_minhash": minhash.op6_minhash,
         "op7_decontaminate": decontam.op7_decontaminate,
+        "op8_substrings": substrings.op8_substrings,
         "op9_pii": pii.op9_pii,
         "op10_lines": lines.op10_lines,
     }

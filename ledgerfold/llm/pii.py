@@ -113,8 +113,7 @@ def disclosures(docs: DataFrame, near: DataFrame, support: int = SUPPORT, thresh
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))
     # combined within each task before the terms are dealt out
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n = docs.agg(F.count("*").alias("n"))
-    rows = joint.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(n))  # n is one row
+    rows = joint.join(terms, "term").join(entities, "entity").withColumn("n", F.lit(docs.count()))
     # with n(e) = n the entity has no information to give away
     own = F.log(F.col("n") / F.col("n_entity"))
     share = F.when(own > 0, F.log(F.col("both") * F.col("n") / (F.col("n_term") * F.col("n_entity"))) / own)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, lines, minhash, mixing, pii, substrings, suffixes
+from . import ann, decontam, langid, lines, minhash, mixing, pii, substrings, suffixes, tokens
+
+
+def pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
     return {
         "op1_mix": mixing.op1_mix,
         "op2_language": langid.op2_language,
+        "op3_tokens": tokens.op3_tokens,
         "op4_suffixes": suffixes.op4_suffixes,
         "op5_neighbours": ann.op5_neighbours,
         "op6_minhash": minhash.op6_minhash,
@@ -16,6 +23,7 @@ def queries() -> dict:
         "op8_substrings": substrings.op8_substrings,
         "op9_pii": pii.op9_pii,
         "op10_lines": lines.op10_lines,
+        "pipeline": pipeline,
     }
 
 

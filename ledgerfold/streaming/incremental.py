@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import GroupState
+from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.streaming.query import StreamingQuery
 
 CHANGED = "entity_id string, record_time string, seq long, payload_hash string"

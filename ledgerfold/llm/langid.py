@@ -5,7 +5,7 @@ automaton knows; the language that needs the fewest phrases, each weighed by the
 learned from, wins.  All blocks of a batch are walked through all automata at once: one step reads one symbol of each.
 
 Learned from a bounded sample: of each language, the SAMPLE_DOCS training documents with the lowest hashes, up to
-SAMPLE_SYMBOLS symbols in all.  Predictions read whole texts (in blocks of BLOCK symbols, at whose ends a phrase ends
+SAMPLE_SYMBOLS symbols in all, and with many languages their even share of ALL_SYMBOLS.  Predictions read whole texts (in blocks of BLOCK symbols, at whose ends a phrase ends
 too).  Symbols are lower-case letters; runs of anything else are one blank.
 
 Null texts and texts without a letter are "und" with score 0.  Without any labelled text all are "und".  Ties go to
@@ -29,6 +29,8 @@ from .kernels import pieces
 
 SAMPLE_DOCS = 64
 SAMPLE_SYMBOLS = 40_000
+#: Of all languages together, so that many languages don't make a larger model.
+ALL_SYMBOLS = 400_000
 LETTERS = 94
 BLOCK = 4096
 FAILED = np.int32(1 << 30)
@@ -109,7 +111,7 @@ class Model:
         self.width = used + 1
         for lang in sorted(samples):
             sym, _, _ = symbols(samples[lang], self.alphabet)
-            own = self.narrow[sym[:SAMPLE_SYMBOLS]].tolist()
+            own = self.narrow[sym[: min(SAMPLE_SYMBOLS, ALL_SYMBOLS // len(samples) + 1)]].tolist()
             if not any(own):
                 continue
             moves = suffix_automaton(own)

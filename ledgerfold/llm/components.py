@@ -27,7 +27,7 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """(a, b) links to (node, component): the smallest node reachable, for every node with a link to another."""
+    """(a, b) links to (node, component): the smallest node reachable, for every node that reaches a smaller one."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct()
     edges, state, turn = ws.put(edges, f"{name}-0"), None, 0
     while not edges.isEmpty():

@@ -5,9 +5,10 @@ are one node, under the smallest doc_id, before anything else is done.  BANDS *
 keys; nodes that share a key are candidates (at a similarity of 0.8 a pair is missed with a probability of 3e-6).
 Links are confirmed by the sizes, then by the signatures, then by the full sets.
 
-Within the nodes of a key no list of all pairs is made.  In rounds, a few nodes (1, 2, 4, ...) outside the key's largest
-component are compared with all nodes of other components and are then done with; the links found merge components.  A
-key is finished when the nodes not done with are of one component: every pair then has been compared or is connected.
+Within the nodes of a key no list of all pairs is made.  The node that most others meet is compared with all others of
+its key, the links found merge components, and the node is done with; then the same with the weightiest node outside
+the key's largest component.  Where nodes not done with are still of several components, the few pairs that may be
+similar are found exactly, by their rarest shingles.  So every pair is compared, connected, or known not to be similar.
 
 Null texts and texts without words have empty sets and link with nothing.  Rows with the same doc_id are one document
 with several sets; a row without a doc_id is alone (component_id null, kept).  Empty tables give empty results.
@@ -104,18 +105,41 @@ def set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array([sets[i].view(np.int64) for i in rows], pa.list_(pa.int64()))], names=["node", "items"])
 
 
-def candidates(open_keys: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """From (key, node, component) of keys with several components: (key, node) to be done with, and their pairs."""
-    size = open_keys.groupBy("key", "component").agg(F.count("*").alias("n"))
-    top = size.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"))
-    rest = open_keys.join(top, "key").where(F.col("component") != -F.col("top.c"))
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    chosen = rest.withColumn("nth", nth).where(F.col("nth") <= most).select("key", "node", "component")
+def candidates(open_keys: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
+    """From (key, node, weight, component) of keys with several components: one (key, node) each to be done with, the
+    weightiest (after the first round: of those outside the key's largest component), and its pairs with the others."""
+    rest = open_keys
+    if not first:
+        size = open_keys.groupBy("key", "component").agg(F.count("*").alias("n"))
+        top = size.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"))
+        rest = open_keys.join(top, "key").where(F.col("component") != -F.col("top.c"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.col("weight").desc(), "node"))
+    chosen = rest.withColumn("nth", nth).where(F.col("nth") <= 1).select("key", "node", "component")
     others = open_keys.select("key", F.col("node").alias("other"), F.col("component").alias("theirs"))
     pairs = chosen.join(others, "key").where(F.col("component") != F.col("theirs"))
     return chosen, pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def remaining_pairs(open_keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) among the nodes of keys with several components that are of different components and may be
+    similar enough: sets of so large a share in common share one of their rarest items, at places that leave enough
+    items after them.  Nodes of a key's largest component are not paired with each other."""
+    size = open_keys.groupBy("key", "component").agg(F.count("*").alias("n"))
+    top = size.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"))
+    outside = open_keys.join(top, "key").groupBy("node", "component").agg(F.max((F.col("component") != -F.col("top.c")).cast("int")).alias("outside"))
+    items = sets.join(outside, "node").select("node", "component", "outside", F.size("items").alias("n"), F.xxhash64("items").alias("set"), F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("node", "set").orderBy("often", "item")
+    placed = items.join(often.where(F.col("often") > 1), "item", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("i", F.row_number().over(rarest))
+    # an item of one set pairs nothing, but it takes a place
+    placed = placed.where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("often") > 1))
+    x = placed.where(F.col("outside") == 1).select("item", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("i").alias("ia"))
+    y = placed.select("item", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("i").alias("ib"))
+    left = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    pairs = x.join(y, "item").where((F.col("ca") != F.col("cb")) & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb"))))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
 
@@ -144,8 +168,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     own = ws.put(known.join(names, "set_id").where(F.col("doc_id") == F.col("node")).select("node", "n", "set_id", "keys", "sig").dropDuplicates(["set_id"]), "nodes")
     nodes = own.select("node", "n", "sig")
     keyed = own.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-    members = ws.put(keyed.join(shared, "key").distinct(), "members")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    met = ws.put(keyed.join(shared, "key").distinct(), "met")
+    # a node that meets many others in its keys is what they are likely copies of
+    members = ws.put(met.join(met.groupBy("node").agg(F.sum("n").alias("weight")), "node").select("key", "node", "weight"), "members")
     wanted = members.select("node").distinct().join(own.select("node", "set_id"), "node")
     sets = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "set_id", "text")
     sets = ws.put(sets.mapInArrow(lambda it: set_batches(it, shingle), f"node {key}, items array<long>").distinct(), "sets")
@@ -153,16 +179,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     several = known.groupBy("doc_id").agg(F.count_distinct("set_id").alias("n")).where(F.col("n") > 1).select("doc_id")
     links = known.join(several, "doc_id").join(names, "set_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")).distinct()
     of = components(links, ws, "same")
-    turn, most = 0, 1
-    open_keys = members
-    while True:
-        labelled = open_keys.select("key", "node").join(of, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    for turn in range(3):
+        labelled = members.join(of, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("component"))
         several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
         open_keys = ws.put(labelled.join(several, "key"), f"open-{turn}")
         if open_keys.isEmpty():
             break
-        done, pairs = candidates(open_keys, most)
-        done = ws.put(done.select("key", "node"), f"done-{turn}")
+        if turn < 2:
+            done, pairs = candidates(open_keys, turn == 0)
+            members = open_keys.join(ws.put(done.select("key", "node"), f"done-{turn}"), ["key", "node"], "left_anti").select("key", "node", "weight")
+        else:
+            pairs = remaining_pairs(open_keys, sets, percent)
         found = ws.put(verified(ws.put(pairs, f"pairs-{turn}"), nodes, sets, percent), f"links-{turn}")
         if not found.isEmpty():
             merged = found.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
@@ -170,8 +197,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             step = components(merged, ws, f"merge-{turn}")
             moved = of.join(step.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
             of = ws.put(moved.unionAll(step.join(of.select("node"), "node", "left_anti")), f"components-{turn}")
-        open_keys = open_keys.join(done, ["key", "node"], "left_anti")
-        turn, most = turn + 1, most * 2
     labels = names.join(of, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
     out = sketch.select("doc_id", "n", "set_id").join(labels, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

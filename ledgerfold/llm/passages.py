@@ -165,6 +165,15 @@ def runs_of(values: list[np.ndarray]) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def dealt(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its entries) for the buckets that have any."""
+    to = (grams % U(buckets)).astype(np.int64)
+    by = np.argsort(to, kind="stable")
+    at = runs_of([to[by]])
+    for a, b in zip(at[:-1], at[1:]):
+        yield int(to[by[a]]), by[a:b]
+
+
 def per_document(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(document, its packed values) of int32 values, given in any order."""
     order = np.argsort(docs, kind="stable")
@@ -198,13 +207,8 @@ def posting_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets:
         g, c, d, p = grams[order], contexts[order], docs[order], pos[order]
         out = [(-1 - i % buckets, i, raw) for i, raw in per_document(d[before], p[before] * 2)]
         g, c, d, p = g[first], c[first], d[first], p[first]
-        to = (g % U(buckets)).astype(np.int64)
-        by = np.argsort(to, kind="stable")
-        at = np.searchsorted(to[by], np.arange(buckets + 1))
-        for b in range(buckets):
-            own = by[at[b] : at[b + 1]]
-            if len(own):
-                out.append((b, None, pack_run(g[own], c[own], d[own], p[own])))
+        for b, own in dealt(g, buckets):
+            out.append((b, None, pack_run(g[own], c[own], d[own], p[own])))
         yield rows(out, ("bucket", "doc_id", "packed"), (pa.int32(), pa.int64(), pa.binary()))
 
 
@@ -274,14 +278,7 @@ def ask_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int,
         grams = np.concatenate([gram_hashes(text.h[at[i : i + 65536, None] + np.arange(scheme.gram)], scheme.gram)[:, 0] for i in range(0, len(at), 65536)]) if len(at) else np.zeros(0, U)
         grams &= U(0xFFFFFFFFFFFF)
         ids = part.column(0).to_numpy(zero_copy_only=False)[doc].astype(np.int64)
-        to = (grams % U(buckets)).astype(np.int64)
-        by = np.argsort(to, kind="stable")
-        cut = np.searchsorted(to[by], np.arange(buckets + 1))
-        out = []
-        for b in range(buckets):
-            own = by[cut[b] : cut[b + 1]]
-            if len(own):
-                out.append((b, len(own), pack(text, doc[own], ids[own], pos[own], grams[own])))
+        out = [(b, len(own), pack(text, doc[own], ids[own], pos[own], grams[own])) for b, own in dealt(grams, buckets)]
         yield rows(out, ("bucket", "n", "packed"), (pa.int32(), pa.int32(), pa.binary()))
 
 

@@ -197,6 +197,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             step = components(merged, ws, f"merge-{turn}")
             moved = of.join(step.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
             of = ws.put(moved.unionAll(step.join(of.select("node"), "node", "left_anti")), f"components-{turn}")
+    for name in ("met", "members", "sets", "nodes", *[f"{n}-{t}" for t in range(3) for n in ("open", "done", "pairs", "links")]):
+        ws.drop(name)  # the result reads sketch, names and components only
     labels = names.join(of, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
     out = sketch.select("doc_id", "n", "set_id").join(labels, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

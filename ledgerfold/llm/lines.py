@@ -8,8 +8,8 @@ is a template of its own.  Templates that occur in at least MIN_DOCS documents r
 the smallest id that has them, whole, and are dropped from all others.  Lines of fewer than MIN_CHARS characters say
 too little to be a template and stay.
 
-Only the leaves that MIN_DOCS documents share are looked at closely, and equal lines are one row there, so a line that
-a third of all documents repeat is combined before it is dealt out.
+Only the leaves that several documents share are looked at closely, and equal lines are one row there, so a line that a
+third of all documents repeat is combined before it is dealt out.
 
 Null texts have no lines and stay null; empty lines stay.  Rows with the same doc_id are one document when lines are
 counted.  Rows without a doc_id drop and count nothing.  Empty tables give empty results.
@@ -33,19 +33,22 @@ VARIABLE = rf"(?<!{_NB})[^{_B}0-9]*+[0-9]{_NB}*+"
 
 
 def masked(line: Column) -> Column:
-    """The line's tokens, variable ones as <*>, joined by one blank."""
-    return F.array_join(F.regexp_extract_all(F.regexp_replace(line, VARIABLE, "<*>"), F.lit(WORD), F.lit(0)), " ")
+    """The line's tokens, variable ones as <*>, joined by one blank.  Most lines are that already and only looked at."""
+    plain = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
+    odd = line.rlike(r"^\x20|[\x09-\x0D]|\x20\x20|\x20$")
+    return F.when(odd, F.array_join(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)), " ")).otherwise(plain)
 
 
 def leaf(mask: Column) -> Column:
-    return F.concat_ws(" ", F.size(F.split(mask, " ")), F.substring_index(mask, " ", LEAD))
+    """Number of tokens and first tokens; null where the line says too little."""
+    tokens = F.length(mask) - F.length(F.replace(mask, F.lit(" "), F.lit(""))) + 1
+    return F.when(F.length(mask) >= MIN_CHARS, F.xxhash64(F.concat_ws(" ", tokens, F.substring_index(mask, " ", LEAD))))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, nth, leaf, mask of the lines long enough to be a template."""
+    """doc_id, nth, mask, leaf of the lines."""
     cut = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("nth", "line")).where(F.length("line") >= MIN_CHARS)
-    cut = cut.select("doc_id", "nth", masked(F.col("line")).alias("mask")).where(F.length("mask") >= MIN_CHARS)
-    return cut.withColumn("leaf", F.xxhash64(leaf(F.col("mask"))))
+    return cut.select("doc_id", "nth", masked(F.col("line")).alias("mask")).withColumn("leaf", leaf(F.col("mask")))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -58,25 +61,30 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILA
     """doc_id, nth of the lines to drop."""
     ws = ws or Workspace(docs.sparkSession, "lines")
     lines = lines_of(docs)
-    occ = ws.put(lines.select("doc_id", "nth", "leaf", F.xxhash64("mask", F.lit(7)).alias("line")), "lines")
-    shared = occ.groupBy("leaf", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    occ = ws.put(occ.join(shared, "leaf"), "shared")
+    line = F.xxhash64("mask", F.lit(7)).alias("line")
+    occ = ws.put(lines.select("doc_id", "nth", "leaf", line), "lines").where(F.col("leaf").isNotNull())
+    # leaves of several documents; only those of several lines have to be read again.  All these tables grow with the
+    # corpus, so none is broadcast
+    leaves = occ.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("line").alias("x"), F.max("line").alias("y")).where(F.col("a") != F.col("b"))
+    leaves = ws.put(leaves.select("leaf", (F.col("x") != F.col("y")).alias("several")), "leaves")
+    occ = ws.put(occ.join(leaves.hint("merge"), "leaf"), "shared")
     # each distinct line once, with the number of documents that have it
-    counts = occ.groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("docs"))
-    masks = lines.join(shared, "leaf", "left_semi").groupBy("leaf", F.xxhash64("mask", F.lit(7)).alias("line")).agg(F.min("mask").alias("mask"))
-    variants = ws.put(masks.join(counts, ["leaf", "line"]), "variants")
+    counts = occ.where("several").groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("docs"))
+    masks = lines.join(leaves.where("several").hint("merge"), "leaf", "left_semi").groupBy("leaf", line).agg(F.min("mask").alias("mask"))
+    variants = ws.put(masks.join(counts.hint("merge"), ["leaf", "line"]), "variants")
     seeds = variants.groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("docs"), "mask", "line")).alias("seed"))
-    of = variants.join(seeds, "leaf").select("leaf", "line", F.when(alike(F.col("mask"), F.col("seed.mask")) >= similar, F.col("seed.line")).otherwise(F.col("line")).alias("template"))
-    placed = occ.join(ws.put(of, "templates"), ["leaf", "line"])
+    of = variants.join(seeds.hint("merge"), "leaf").where(F.col("line") != F.col("seed.line")).where(alike(F.col("mask"), F.col("seed.mask")) >= similar)
+    of = ws.put(of.select("leaf", "line", F.col("seed.line").alias("template")), "templates")
+    placed = occ.join(of.hint("merge"), ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     each = placed.groupBy("leaf", "template", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= min_docs)
-    return placed.join(each, ["leaf", "template"]).where(F.col("doc_id") != F.col("first")).select("doc_id", "nth")
+    return placed.join(each.hint("merge"), ["leaf", "template"]).where(F.col("doc_id") != F.col("first")).select("doc_id", "nth")
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
     """docs with all its columns, text without the lines to drop, and n_lines_dropped."""
     ws = Workspace(docs.sparkSession, "lines")
     drops = ws.put(recurring(fields(docs, "doc_id", "text"), min_docs, similar, ws).groupBy("doc_id").agg(F.collect_set("nth").alias("__gone")).withColumnRenamed("doc_id", "__doc"), "drops")
-    rows = docs.join(drops, docs["doc_id"] == drops["__doc"], "left")
+    rows = docs.join(drops.hint("merge"), docs["doc_id"] == drops["__doc"], "left")
     cut = F.split("text", "\n")
     # the place of a line tells it from its equals; rows that share a doc_id lose lines by place, so only where they are equal
     left = F.array_join(F.filter(cut, lambda line, i: ~F.array_contains("__gone", i)), "\n")

@@ -346,12 +346,26 @@ def reconciliation_ranked(spark, d):
     return r.orderBy(F.abs("residual").desc(), "pair", "year").limit(50).select("pair", "year", "gap", "residual", (100.0 * F.col("residual") / F.nullif(F.col("gap"), F.lit(0.0))).alias("residual_share_pct"))
 
 
-@query("trade_asymmetry_mart", f"WITH {MIRROR_SQL} SELECT pair, year, importer_cif AS importer_cif_usd, exporter_fob AS exporter_fob_usd, gap AS gap_usd, valuation AS valuation_component_usd, residual AS residual_attribution_usd, within_tolerance::VARCHAR AS within_tolerance FROM mirror")
-def trade_asymmetry_mart(spark, d):
+def asymmetry(spark, d) -> DataFrame:
     """Through the log: observations, fold, typed mart."""
     rows = capture.mirror_observations(capture.reconcile(*mirror_reports(spark, d)), "2024-06-01")
     log = rows.withColumns({"event_id": F.col("entity_id"), "is_error_declaration": F.lit(False), "seq": F.lit(0).cast("long")})
-    return marts.trade_asymmetry(log).select("pair", "year", "importer_cif_usd", "exporter_fob_usd", "gap_usd", "valuation_component_usd", "residual_attribution_usd", "within_tolerance")
+    return marts.trade_asymmetry(log)
+
+
+@query("trade_asymmetry_mart", f"WITH {MIRROR_SQL} SELECT pair, year, importer_cif AS importer_cif_usd, exporter_fob AS exporter_fob_usd, gap AS gap_usd, valuation AS valuation_component_usd, residual AS residual_attribution_usd, within_tolerance::VARCHAR AS within_tolerance FROM mirror")
+def trade_asymmetry_mart(spark, d):
+    return asymmetry(spark, d).select("pair", "year", "importer_cif_usd", "exporter_fob_usd", "gap_usd", "valuation_component_usd", "residual_attribution_usd", "within_tolerance")
+
+
+@query(
+    "reconciliation_report",
+    f"""WITH {MIRROR_SQL} SELECT pair, year, gap AS gap_usd, round_even(gap_pct, 2) AS gap_pct, valuation AS explained_valuation_usd, residual AS residual_usd,
+  round(100.0::DOUBLE * residual / nullif(gap, 0), 1) AS residual_share_pct FROM mirror ORDER BY abs(residual) DESC NULLS LAST""",
+)
+def reconciliation_report(spark, d):
+    """All rows of the mart, also those without a residual."""
+    return marts.reconciliation_report(asymmetry(spark, d))
 
 
 # ---- custody ----

@@ -32,6 +32,14 @@ def test_query(spark, other, name):
     assert rows(ours) == rows(theirs)
 
 
+def test_report_has_every_pair_and_year(spark):
+    report = catalog.QUERIES["reconciliation_report"](spark, SF).toPandas()
+    assert len(report) == catalog.QUERIES["trade_asymmetry_mart"](spark, SF).count() > 50
+    missing = report["residual_usd"].isna()
+    assert 0 < missing.sum() < len(report) and missing.is_monotonic_increasing
+    assert report["residual_usd"][~missing].abs().is_monotonic_decreasing
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalog.SQL) <= set(__spark_entry__.oracle_sql()) and set(catalog.QUERIES) <= set(__spark_entry__.queries())

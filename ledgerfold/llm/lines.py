@@ -1,15 +1,16 @@
 """Operator 10: line dedup with a log-template tree.  DataFrame functions only.
 
 A line's tokens are its runs of anything but ASCII white space; tokens with a digit are variable fields and become <*>.
-The tree has a fixed depth: the number of tokens, then the first LEAD tokens; that path is a leaf.  A leaf holds one
-generalised template: its seed is the line that most documents of the leaf share, and a line of the leaf that agrees
-with the seed in at least SIMILAR of its places belongs to it, its other places being variable.  A line unlike the seed
-is a template of its own.  Templates that occur in at least MIN_DOCS documents recur; they stay in the document with
+The tree has a fixed depth: the number of tokens, then the first LEAD tokens; that path is a leaf.  A leaf holds any
+number of generalised templates: the seed of one is the line that most documents share among those that no template
+before it took, and a line that agrees with the seed in at least SIMILAR of its places belongs to it, its other places
+being variable; so until no line is left.  Templates that occur in at least MIN_DOCS documents recur; they stay in the document with
 the smallest id that has them, whole, and are dropped from all others.  Lines of fewer than MIN_CHARS characters say
 too little to be a template and stay.
 
 Only the leaves that several documents share are looked at closely, and equal lines are one row there, so a line that a
-third of all documents repeat is combined before it is dealt out.
+third of all documents repeat is combined before it is dealt out.  Lines unlike the first seed are compared with each
+other only where they can be alike; those of one leaf that can are gathered in one row.
 
 Null texts have no lines and stay null; empty lines stay.  Rows with the same doc_id are one document when lines are
 counted.  Rows without a doc_id drop and count nothing.  Empty tables give empty results.
@@ -51,10 +52,36 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return cut.select("doc_id", "nth", masked(F.col("line")).alias("mask")).withColumn("leaf", leaf(F.col("mask")))
 
 
+def agreeing(a: Column, b: Column) -> Column:
+    """The share of places at which two arrays of as many tokens agree."""
+    same = F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0))
+    return F.aggregate(same, F.lit(0), lambda s, x: s + x) / F.size(same)
+
+
 def alike(a: Column, b: Column) -> Column:
     """The share of places at which two masked lines of as many tokens agree."""
-    same = F.zip_with(F.split(a, " "), F.split(b, " "), lambda x, y: F.when(x == y, 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda s, x: s + x) / F.size(same)
+    return agreeing(F.split(a, " "), F.split(b, " "))
+
+
+def further(rest: DataFrame, similar: float, ws: Workspace) -> DataFrame:
+    """leaf, line, template of the lines that belong to a seed other than themselves, among those (leaf, line, mask,
+    docs) that the first seed of their leaf left over."""
+    ends = [F.min("line").alias("x"), F.max("line").alias("y")]
+    several = rest.groupBy("leaf").agg(*ends).where(F.col("x") != F.col("y")).select("leaf")
+    rest = ws.put(rest.join(several.hint("merge"), "leaf").withColumn("tokens", F.split("mask", " ")), "rest")
+    # lines that differ in at most m places, none of them among the first LEAD, are equal in one of m + 1 parts
+    size = F.size("tokens") - LEAD
+    parts = F.floor(F.size("tokens") * (1 - similar) + 1e-6).cast("int") + 1
+    cut = lambda b: F.floor(b * size / parts).cast("int")
+    part = lambda b: F.xxhash64(b, F.concat_ws(" ", F.slice("tokens", LEAD + 1 + cut(b), cut(b + 1) - cut(b))))
+    keyed = ws.put(rest.select("leaf", "line", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), part)).alias("part")), "parts")
+    met = keyed.groupBy("leaf", "part").agg(*ends).where(F.col("x") != F.col("y")).select("leaf", "part")
+    can = keyed.join(met.hint("merge"), ["leaf", "part"]).select("leaf", "line").distinct()
+    rows = rest.join(can.hint("merge"), ["leaf", "line"]).groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct((-F.col("docs")).alias("docs"), "mask", "line", "tokens"))).alias("all"))
+    near = lambda seeds, x: F.filter(seeds, lambda s: agreeing(s["tokens"], x["tokens"]) >= similar)
+    seeds = F.aggregate("all", F.slice("all", 1, 0), lambda seeds, x: F.when(F.size(near(seeds, x)) > 0, seeds).otherwise(F.concat(seeds, F.array(x))))
+    rows = ws.put(rows.withColumn("seeds", seeds), "seeds").select("leaf", "seeds", F.explode("all").alias("x"))
+    return rows.select("leaf", F.col("x.line").alias("line"), F.element_at(near(F.col("seeds"), F.col("x")), 1)["line"].alias("template")).where(F.col("line") != F.col("template"))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR, ws: Workspace | None = None) -> DataFrame:
@@ -73,8 +100,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILA
     masks = lines.join(leaves.where("several").hint("merge"), "leaf", "left_semi").groupBy("leaf", line).agg(F.min("mask").alias("mask"))
     variants = ws.put(masks.join(counts.hint("merge"), ["leaf", "line"]), "variants")
     seeds = variants.groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("docs"), "mask", "line")).alias("seed"))
-    of = variants.join(seeds.hint("merge"), "leaf").where(F.col("line") != F.col("seed.line")).where(alike(F.col("mask"), F.col("seed.mask")) >= similar)
-    of = ws.put(of.select("leaf", "line", F.col("seed.line").alias("template")), "templates")
+    others = variants.join(seeds.hint("merge"), "leaf").where(F.col("line") != F.col("seed.line"))
+    others = ws.put(others.withColumn("taken", alike(F.col("mask"), F.col("seed.mask")) >= similar), "others")
+    of = others.where("taken").select("leaf", "line", F.col("seed.line").alias("template"))
+    of = ws.put(of.unionByName(further(others.where("NOT taken").select("leaf", "line", "mask", "docs"), similar, ws)), "templates")
     placed = occ.join(of.hint("merge"), ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     each = placed.groupBy("leaf", "template", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= min_docs)
     return placed.join(each.hint("merge"), ["leaf", "template"]).where(F.col("doc_id") != F.col("first")).select("doc_id", "nth")
@@ -99,7 +128,8 @@ def op10_lines(spark, sf_dir: str) -> DataFrame:
 
 
 def lines_sql(documents: str = "documents") -> str:
-    """What op10_lines returns, as DuckDB SQL over the whole table."""
+    """What op10_lines returns where no leaf has more than one template of several lines, as DuckDB SQL over the whole
+    table: lines unlike the first seed of their leaf are each a template of their own there."""
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS nth, unnest(l) AS line

@@ -29,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines of recurring templates from all documents but the first; documents themselves stay."""
-    out = lines.drop_lines(docs)
+    out = lines.drop_lines(docs, min_chars=1)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else out.select(*docs.columns)
 
 

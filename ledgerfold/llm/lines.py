@@ -5,8 +5,9 @@ The tree has a fixed depth: the number of tokens, then the first LEAD tokens; th
 number of generalised templates: the seed of one is the line that most documents share among those that no template
 before it took, and a line that agrees with the seed in at least SIMILAR of its places belongs to it, its other places
 being variable; so until no line is left.  Templates that occur in at least MIN_DOCS documents recur; they stay in the document with
-the smallest id that has them, whole, and are dropped from all others.  Lines of fewer than MIN_CHARS characters say
-too little to be a template and stay.
+the smallest id that has them, whole, and are dropped from all others.  Lines of fewer than min_chars characters, as
+they stand in the text, say too little to be a template and stay; op10_lines sets MIN_CHARS, as its SQL does, and the
+pipeline 1, so that short lines too are judged by how many documents repeat them.  Blank lines stay.
 
 Only the leaves that several documents share are looked at closely, and equal lines are one row there, so a line that a
 third of all documents repeat is combined before it is dealt out.  Lines unlike the first seed are compared with each
@@ -41,14 +42,14 @@ def masked(line: Column) -> Column:
 
 
 def leaf(mask: Column) -> Column:
-    """Number of tokens and first tokens; null where the line says too little."""
+    """Number of tokens and first tokens; null where there is none."""
     tokens = F.length(mask) - F.length(F.replace(mask, F.lit(" "), F.lit(""))) + 1
-    return F.when(F.length(mask) >= MIN_CHARS, F.xxhash64(F.concat_ws(" ", tokens, F.substring_index(mask, " ", LEAD))))
+    return F.when(F.length(mask) > 0, F.xxhash64(F.concat_ws(" ", tokens, F.substring_index(mask, " ", LEAD))))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, nth, mask, leaf of the lines."""
-    cut = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("nth", "line")).where(F.length("line") >= MIN_CHARS)
+    cut = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("nth", "line")).where(F.length("line") >= min_chars)
     return cut.select("doc_id", "nth", masked(F.col("line")).alias("mask")).withColumn("leaf", leaf(F.col("mask")))
 
 
@@ -84,10 +85,10 @@ def further(rest: DataFrame, similar: float, ws: Workspace) -> DataFrame:
     return rows.select("leaf", F.col("x.line").alias("line"), F.element_at(near(F.col("seeds"), F.col("x")), 1)["line"].alias("template")).where(F.col("line") != F.col("template"))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR, ws: Workspace | None = None) -> DataFrame:
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR, ws: Workspace | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, nth of the lines to drop."""
     ws = ws or Workspace(docs.sparkSession, "lines")
-    lines = lines_of(docs)
+    lines = lines_of(docs, min_chars)
     line = F.xxhash64("mask", F.lit(7)).alias("line")
     occ = ws.put(lines.select("doc_id", "nth", "leaf", line), "lines").where(F.col("leaf").isNotNull())
     # leaves of several documents; only those of several lines have to be read again.  All these tables grow with the
@@ -109,10 +110,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILA
     return placed.join(each.hint("merge"), ["leaf", "template"]).where(F.col("doc_id") != F.col("first")).select("doc_id", "nth")
 
 
-def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
+def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with all its columns, text without the lines to drop, and n_lines_dropped."""
     ws = Workspace(docs.sparkSession, "lines")
-    drops = ws.put(recurring(fields(docs, "doc_id", "text"), min_docs, similar, ws).groupBy("doc_id").agg(F.collect_set("nth").alias("__gone")).withColumnRenamed("doc_id", "__doc"), "drops")
+    drops = ws.put(recurring(fields(docs, "doc_id", "text"), min_docs, similar, ws, min_chars).groupBy("doc_id").agg(F.collect_set("nth").alias("__gone")).withColumnRenamed("doc_id", "__doc"), "drops")
     rows = docs.join(drops.hint("merge"), docs["doc_id"] == drops["__doc"], "left")
     cut = F.split("text", "\n")
     # the place of a line tells it from its equals; rows that share a doc_id lose lines by place, so only where they are equal
@@ -129,7 +130,8 @@ def op10_lines(spark, sf_dir: str) -> DataFrame:
 
 def lines_sql(documents: str = "documents") -> str:
     """What op10_lines returns where no leaf has more than one template of several lines, as DuckDB SQL over the whole
-    table: lines unlike the first seed of their leaf are each a template of their own there."""
+    table: lines unlike the first seed of their leaf are each a template of their own there.  Lines whose mask has fewer
+    than MIN_CHARS characters stay there too."""
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS nth, unnest(l) AS line

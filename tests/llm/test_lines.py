@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 from ledgerfold.llm import lines
 
 
@@ -49,3 +50,11 @@ def test_templates_until_no_line_is_left(spark):
         docs.append((i, " ".join(["same", "old", "start"] + [w if rng.random() < 0.8 else rng.choice(("other", "place", "x7")) for w in (kind[:1] * (n - 3))])))
     assert dropped(spark, docs) == plain(docs)
     assert dropped(spark, docs, similar=0.9) == plain(docs, similar=0.9) != plain(docs)
+
+
+def test_lines_of_variable_fields_and_short_lines(spark):
+    docs = [(i, f"2024-01-0{i} 12:33:01 10.0.0.17 200\nread more\n \nown text {'abcd'[i]}") for i in range(4)]
+    assert dropped(spark, docs) == plain(docs) == {(i, 0) for i in (1, 2, 3)}
+    assert dropped(spark, docs, min_chars=1) == plain(docs, min_chars=1) == {(i, n) for i in (1, 2, 3) for n in (0, 1)}
+    kept = corpus_pipeline.line_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {0: docs[0][1]} | {i: f" \nown text {'abcd'[i]}" for i in (1, 2, 3)}

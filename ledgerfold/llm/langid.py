@@ -6,7 +6,8 @@ learned from, wins.  All blocks of a batch are walked through all automata at on
 
 Learned from a bounded sample: of each language, the SAMPLE_DOCS training documents with the lowest hashes, up to
 SAMPLE_SYMBOLS symbols in all, and with many languages their even share of ALL_SYMBOLS.  Predictions read whole texts (in blocks of BLOCK symbols, at whose ends a phrase ends
-too).  Symbols are lower-case letters; runs of anything else are one blank.
+too).  Symbols are lower-case letters, all that the samples hold; runs of anything else are one blank.  Transitions
+beyond the WIDTH most frequent symbols are kept sparsely, so thousands of letters don't widen the table.
 
 Null texts and texts without a letter are "und" with score 0.  Without any labelled text all are "und".  Ties go to
 the language first in code-point order.  Repeated rows each get their result.  A null doc_id is neither learned from
@@ -31,7 +32,8 @@ SAMPLE_DOCS = 64
 SAMPLE_SYMBOLS = 40_000
 #: Of all languages together, so that many languages don't make a larger model.
 ALL_SYMBOLS = 400_000
-LETTERS = 94
+#: Symbols with a column of their own in the table of transitions.
+WIDTH = 94
 BLOCK = 4096
 FAILED = np.int32(1 << 30)
 
@@ -44,7 +46,7 @@ def is_letter() -> np.ndarray:
 def symbols(texts: list[str], alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts, the first of each text (with the total at the end), and whether it has a letter.
 
-    0 is the blank between words, len(LETTERS) + 1 any letter outside the alphabet.
+    0 is the blank between words, the highest symbol any letter outside the alphabet.
     """
     lowered = [t.lower() for t in texts]
     size = np.fromiter(map(len, lowered), np.int64, len(lowered))
@@ -60,10 +62,10 @@ def symbols(texts: list[str], alphabet: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def alphabet_of(texts: list[str]) -> np.ndarray:
-    """Code point to symbol; the LETTERS most frequent letters get one each."""
+    """Code point to symbol: each letter of the texts gets one, the most frequent first."""
     counts = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    out = np.where(is_letter(), LETTERS + 1, 0).astype(np.uint8)
-    for i, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]):
+    out = np.where(is_letter(), len(counts) + 1, 0).astype(np.min_scalar_type(len(counts) + 1))
+    for i, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))):
         out[ord(c)] = i + 1
     return out
 
@@ -100,28 +102,39 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 class Model:
     """All automata in one table: table[state * width + symbol] is the next state times width, with FAILED set where a
-    phrase ends before the symbol and the next one begins with it."""
+    phrase ends before the symbol and the next one begins with it.
+
+    Symbols beyond WIDTH share the last column with letters not learned.  Their transitions are sorted keys, state *
+    letters + symbol, with what they lead to; first[language, symbol] is what follows where a state has none."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.alphabet = alphabet_of([t for v in samples.values() for t in v])
-        self.width = LETTERS + 2
-        self.langs, starts, weights, tables, base = [], [], [], [], 0
-        used = int(self.alphabet[self.alphabet <= LETTERS].max(initial=0)) + 1
-        self.narrow = np.minimum(np.arange(LETTERS + 2), used).astype(np.int32)
-        self.width = used + 1
+        self.letters = int(self.alphabet.max()) + 1  # with the blank and the symbol of letters not learned
+        self.dense = min(self.letters - 1, WIDTH + 1)
+        self.narrow = np.minimum(np.arange(self.letters), self.dense).astype(np.int32)
+        self.width = self.dense + 1
+        self.langs, starts, weights, tables, firsts, keys, nexts, base = [], [], [], [], [], [], [], 0
         for lang in sorted(samples):
             sym, _, _ = symbols(samples[lang], self.alphabet)
-            own = self.narrow[sym[: min(SAMPLE_SYMBOLS, ALL_SYMBOLS // len(samples) + 1)]].tolist()
+            own = sym[: min(SAMPLE_SYMBOLS, ALL_SYMBOLS // len(samples) + 1)].tolist()
             if not any(own):
                 continue
             moves = suffix_automaton(own)
             t = np.full((len(moves), self.width), -1, np.int64)
+            first = np.zeros(self.letters, np.int64)
             for s, m in enumerate(moves):
+                if self.letters > self.width:
+                    rare = {c: to for c, to in m.items() if c >= self.dense}
+                    keys += [(base + s) * self.letters + c for c in rare]
+                    nexts += [(base + to) * self.width for to in rare.values()]
+                    if s == 0:
+                        first[list(rare)] = list(rare.values())
+                    m = {c: to for c, to in m.items() if c < self.dense}
                 t[s, list(m)] = list(m.values())
-            t[:, used] = -1  # letters outside the alphabet match nothing
             root = np.where(t[0] >= 0, t[0], 0)
             t = np.where(t >= 0, (t + base) * self.width, ((root + base) * self.width)[None, :] | int(FAILED))
             tables.append(t.astype(np.int32))
+            firsts.append((((first + base) * self.width) | int(FAILED)).astype(np.int32))
             starts.append(base * self.width)
             weights.append(np.log2(len(own) + 1.0))
             self.langs.append(lang)
@@ -130,6 +143,15 @@ class Model:
             raise ValueError("too many languages for one table; lower SAMPLE_SYMBOLS")
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.starts, self.weights = np.array(starts, np.int32), np.array(weights)
+        self.first = np.array(firsts, np.int32)
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        self.keys, self.nexts = np.array(keys, np.int64)[order], np.array(nexts, np.int32)[order]
+
+    def rare(self, state: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """(language, block) -> what the table would hold for symbols beyond WIDTH."""
+        key = (state // self.width).astype(np.int64) * self.letters + sym
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.nexts[at], self.first[:, sym])
 
     def phrases(self, sym: np.ndarray, at: np.ndarray) -> np.ndarray:
         """(text, language) -> number of phrases."""
@@ -143,10 +165,14 @@ class Model:
         alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")  # blocks longer than i
         state = np.repeat(self.starts[:, None], len(owner), axis=1)
         count = np.ones((k, len(owner)), np.int32)
-        sym = self.narrow[sym]
+        whole, sym = sym, self.narrow[sym]
+        beyond = len(self.keys) > 0 and bool((sym == self.dense).any())
         for i in range(int(length.max(initial=0))):
             a = alive[i]
-            x = self.table[state[:, :a] + sym[first[:a] + i]]
+            now = sym[first[:a] + i]
+            x = self.table[state[:, :a] + now]
+            if beyond and len(at_rare := np.flatnonzero(now == self.dense)):
+                x[:, at_rare] = self.rare(state[:, at_rare], whole[first[at_rare] + i].astype(np.int64))
             count[:, :a] += x >> 30
             state[:, :a] = x & (FAILED - 1)
         out = np.zeros((len(size), k), np.int64)

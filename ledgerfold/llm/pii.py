@@ -1,14 +1,16 @@
 """Operator 9: personal data, and what gives it away, by corpus co-occurrence.  DataFrame functions only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers, by pattern and check.  Each distinct value is a
-protected entity.  A term (a run of three or more letters, lower-cased) within REACH characters of an entity is a
-possible clue.  With n documents, of which n(t) hold the term, n(e) the entity and n(t,e) the term near the entity,
+protected entity.  A term (a run of three or more letters, lower-cased) in a document that holds an entity is a
+possible clue.  With n documents, of which n(t) hold the term, n(e) the entity and n(t,e) both,
 
     disclosure = log(n(t,e) * n / (n(t) * n(e))) / log(n / n(e))
 
 is the pointwise mutual information over the entity's own information: 1 where the term never appears without the
 entity.  Pairs seen in fewer than SUPPORT different texts tell nothing.  Terms of at least THRESHOLD are generalised
-(to <TERM>), those of 1 removed, wherever they stand near that entity; terms that overlap a base span are left to it.
+(to <TERM>), those of 1 removed, wherever they stand in a document that holds that entity; terms that overlap a base
+span are left to it.  As n(t,e) <= n(e), disclosure is at most log(n / n(t)) / log(n / n(e)); pairs for which that is
+below THRESHOLD are not formed, which changes no result.
 
 Patterns are anchored at run starts and possessive, so texts of any length take time in proportion, and match exactly
 what the plain patterns match.  Null texts count as empty.  Rows that repeat get the same result each; spans are
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, fields
 
-REACH = 100
 SUPPORT = 2
 THRESHOLD = 0.9
 
@@ -93,57 +94,68 @@ def named(span: Column) -> Column:
     return F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in (*KINDS, "term")]), span["kind"] + 1), span["start"], span["end"])
 
 
-def clues(spans: DataFrame) -> DataFrame:
-    """One row per term near an entity: doc_id, id, entity, term, start, end.  spans has before and after: the text
-    around the entity, with a blank where the text itself starts or ends there."""
-    out = None
-    for side, pattern, origin in (("before", rf"(?<=\P{{L}}){LETTERS}", F.col("start") - F.length("before")), ("after", rf"{LETTERS}(?=\P{{L}})", F.col("end"))):
-        m = F.regexp_extract_all(side, F.lit(pattern), F.lit(0))
-        one = spans.withColumn("origin", origin).select("doc_id", "id", "entity", "origin", F.explode(located(F.col(side), m, pattern)).alias("t"))
-        one = one.select("doc_id", "id", "entity", F.lower("t.value").alias("term"), (F.col("origin") + F.col("t.start")).alias("start"), (F.col("origin") + F.col("t.end")).alias("end"))
-        out = one if out is None else out.unionAll(one)
-    return out
+def terms_of(text: Column) -> Column:
+    """The terms of a text, in order, once for each place."""
+    return F.transform(F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0)), F.lower)
 
 
-def disclosures(docs: DataFrame, near: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def pairs_of(texts: DataFrame, holds: DataFrame, terms: DataFrame, n: int, support: int, threshold: float) -> DataFrame:
+    """entity, term, id, docs, n_term, n_entity: the texts that hold both, where the pair can reach the threshold."""
+    words = texts.select("id", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+    rows = words.join(terms.where(F.col("n_term") >= support), "term").join(holds, "id")
+    least = threshold * F.log(F.lit(n) / F.col("n_entity")) - 1e-9
+    return rows.where(F.log(F.lit(n) / F.col("n_term")) >= least)
+
+
+def disclosures(pairs: DataFrame, n: int, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term, disclosure: the pairs at or above the threshold."""
-    pairs = near.groupBy("entity", "term", "doc_id", "id").agg(F.lit(1).alias("one"))
-    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.countDistinct("id").alias("texts")).where(F.col("texts") >= support)
-    entities = near.select("entity", "doc_id", "id").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))
-    # combined within each task before the terms are dealt out
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    rows = joint.join(terms, "term").join(entities, "entity").withColumn("n", F.lit(docs.count()))
+    joint = pairs.groupBy("entity", "term", "n_term", "n_entity").agg(F.sum("docs").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
     # with n(e) = n the entity has no information to give away
-    own = F.log(F.col("n") / F.col("n_entity"))
-    share = F.when(own > 0, F.log(F.col("both") * F.col("n") / (F.col("n_term") * F.col("n_entity"))) / own)
-    return rows.withColumn("disclosure", share).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
+    own = F.log(F.lit(n) / F.col("n_entity"))
+    share = F.when(own > 0, F.log(F.col("both") * F.lit(n) / (F.col("n_term") * F.col("n_entity"))) / own)
+    return joint.withColumn("disclosure", share).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
+
+
+def told_at(text: Column, told: Column) -> Column:
+    """The places of the terms in the map told, as (start, kind, end, value); the text is gone through once."""
+    kind = "struct<at:int,found:array<struct<start:int,kind:int,end:int,value:string>>>"
+    matches = F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))
+    gaps = F.slice(F.transform(F.split(text, LETTERS, -1), F.length), 1, F.size(matches))
+    steps = F.zip_with(gaps, matches, lambda gap, m: F.struct(gap.alias("gap"), F.length(m).alias("size"), F.element_at(told, F.lower(m)).alias("value")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>").alias("found")).cast(kind)
+
+    def step(a: Column, x: Column) -> Column:
+        first, end = a["at"] + x["gap"], a["at"] + x["gap"] + x["size"]
+        one = F.array(F.struct(first.alias("start"), F.lit(len(KINDS)).alias("kind"), end.alias("end"), x["value"].cast("string").alias("value")))
+        return F.struct(end.alias("at"), F.when(x["value"].isNull(), a["found"]).otherwise(F.concat(a["found"], one)).alias("found")).cast(kind)
+
+    return F.aggregate(steps, start, step)["found"]
 
 
 def find(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, id (of the text), base and terms: arrays of (start, kind number, end, value), where kind 4 is a term and
     value its disclosure."""
     ws = Workspace(docs.sparkSession, "pii")
-    docs = fields(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    rows = base(docs.withColumn("id", F.md5("text")))
-
-    def around(s: Column) -> list[Column]:
-        first = F.greatest(s["start"] - REACH, F.lit(0))
-        before = F.concat(F.when(first == 0, F.lit(" ")).otherwise(F.lit("")), F.substring(F.col("text"), first + 1, s["start"] - first))
-        after = F.concat(F.substring(F.col("text"), s["end"] + 1, F.lit(REACH)), F.when(s["end"] + REACH >= F.length("text"), F.lit(" ")).otherwise(F.lit("")))
-        return [s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"), before.alias("before"), after.alias("after")]
-
-    full = ws.put(rows.select("doc_id", "id", F.transform("spans", lambda s: F.struct(*around(s))).alias("spans")), "base")
-    spans = full.select("doc_id", "id", F.explode("spans").alias("s")).select("doc_id", "id", F.concat_ws(":", "s.kind", F.when(F.col("s.kind") == 0, F.lower("s.value")).otherwise(digits(F.col("s.value")))).alias("entity"), "s.start", "s.end", "s.before", "s.after")
-    near = ws.put(clues(spans), "clues")
-    told = disclosures(docs, near, support, threshold)
-    hits = near.join(told, ["entity", "term"]).groupBy("doc_id", "id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    terms = hits.groupBy("doc_id", "id").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end", F.col("disclosure").cast("string").alias("value")))).alias("terms"))
-    slim = full.select("doc_id", "id", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))).alias("base"))
-    terms = ws.put(terms, "terms")
-    out = slim.alias("a").join(terms.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.id") == F.col("b.id")), "left")
+    docs = fields(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("id", F.md5("text"))
+    full = ws.put(base(docs).select("doc_id", "id", F.col("spans").alias("base")), "base")
+    spans = full.select("doc_id", "id", F.explode("base").alias("s"))
+    entity = F.concat_ws(":", "s.kind", F.when(F.col("s.kind") == 0, F.lower("s.value")).otherwise(digits(F.col("s.value"))))
+    holds = spans.select("doc_id", "id", entity.alias("entity")).distinct().groupBy("entity", "id").agg(F.count("*").alias("docs"))
+    holds = ws.put(holds, "holds")
+    entities = holds.groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    holds = ws.put(holds.join(entities.drop("texts"), "entity"), "shared")
+    # what a text tells is the same in each of its copies
+    texts = ws.put(docs.join(holds.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    # combined within each task before the terms are dealt out
+    terms = docs.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    n = docs.count()
+    pairs = ws.put(pairs_of(texts, holds, terms, n, support, threshold), "pairs")
+    told = pairs.join(disclosures(pairs, n, support, threshold), ["entity", "term"]).groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = told.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told"))
+    terms = ws.put(texts.join(told, "id").select("id", told_at(F.col("text"), F.col("told")).alias("terms")), "terms")
+    out = full.join(terms, "id", "left")
     clear = F.filter(F.coalesce(F.col("terms"), F.array().cast(terms.schema["terms"].dataType)), lambda t: ~F.exists(F.col("base"), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return out.select("a.doc_id", "a.id", "base", clear.alias("terms"))
+    return out.select("doc_id", "id", "base", clear.alias("terms"))
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:

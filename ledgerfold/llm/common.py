@@ -8,7 +8,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -18,16 +19,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests, one machine), a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by spark.checkpoint.dir, or by setCheckpointDir; where neither is set (tests, one machine), a
+    temporary one.  On a cluster a folder of this machine would lose rows, so there one has to be named."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="ledgerfold-")
-        spark.sparkContext.setCheckpointDir(_own_dirs[app])
-        atexit.register(_remove, _own_dirs[app])
-    return _own_dirs[app]
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    if sc.applicationId not in _own_dirs:
+        _own_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="ledgerfold-")
+        atexit.register(_remove, _own_dirs[sc.applicationId])
+    return _own_dirs[sc.applicationId]
 
 
 def _remove(url: str) -> None:
@@ -64,6 +67,13 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
         return self.get(df, name)
 
+    def counted(self, df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+        """put(), and what an aggregate of the rows written gives: seen while they are written, without another job.
+        Recomputed tasks may count rows twice, so only none or some can be told from a number."""
+        seen = Observation()
+        out = self.put(df.observe(seen, *[c.alias(n) for n, c in (counts or {"n": F.count(F.lit(1))}).items()]), name)
+        return out, {k: v or 0 for k, v in seen.get.items()}
+
     def get(self, df: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 

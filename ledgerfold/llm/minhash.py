@@ -102,57 +102,80 @@ def set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
         sets = shingle_hashes(Words(texts, BLANK, lower=True), n)
         ids = part.column(part.schema.get_field_index("set_id")).to_pylist()
         rows = [i for i, s in enumerate(sets) if len(s) and digest(s) == ids[i]]
-        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array([sets[i].view(np.int64) for i in rows], pa.list_(pa.int64()))], names=["node", "items"])
-
-
-def candidates(open_keys: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
-    """From (key, node, weight, component) of keys with several components: one (key, node) each to be done with, the
-    weightiest (after the first round: of those outside the key's largest component), and its pairs with the others."""
-    rest = open_keys
-    if not first:
-        size = open_keys.groupBy("key", "component").agg(F.count("*").alias("n"))
-        top = size.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"))
-        rest = open_keys.join(top, "key").where(F.col("component") != -F.col("top.c"))
-    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.col("weight").desc(), "node"))
-    chosen = rest.withColumn("nth", nth).where(F.col("nth") <= 1).select("key", "node", "component")
-    others = open_keys.select("key", F.col("node").alias("other"), F.col("component").alias("theirs"))
-    pairs = chosen.join(others, "key").where(F.col("component") != F.col("theirs"))
-    return chosen, pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def remaining_pairs(open_keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) among the nodes of keys with several components that are of different components and may be
-    similar enough: sets of so large a share in common share one of their rarest items, at places that leave enough
-    items after them.  Nodes of a key's largest component are not paired with each other."""
-    size = open_keys.groupBy("key", "component").agg(F.count("*").alias("n"))
-    top = size.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"))
-    outside = open_keys.join(top, "key").groupBy("node", "component").agg(F.max((F.col("component") != -F.col("top.c")).cast("int")).alias("outside"))
-    items = sets.join(outside, "node").select("node", "component", "outside", F.size("items").alias("n"), F.xxhash64("items").alias("set"), F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count("*").alias("often"))
-    rarest = Window.partitionBy("node", "set").orderBy("often", "item")
-    placed = items.join(often.where(F.col("often") > 1), "item", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("i", F.row_number().over(rarest))
+        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array([ids[i] for i in rows], pa.binary()), pa.array([sets[i].view(np.int64) for i in rows], pa.list_(pa.int64()))], names=["node", "set_id", "items"])
+
+
+def first_of(members: DataFrame) -> DataFrame:
+    """Of each key its weightiest node, as rep, and all its other nodes."""
+    best = members.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("best")).select("key", F.col("best.node").alias("rep"))
+    return members.join(best.hint("merge"), "key").where(F.col("node") != F.col("rep"))
+
+
+def still_open(rest: DataFrame, of: DataFrame) -> DataFrame:
+    """Of (key, node, weight) the keys whose nodes are of several components, with component and top, the key's largest
+    one."""
+    labelled = rest.select("key", "node", "weight").join(of.hint("merge"), "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("component"))
+    each = labelled.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("best"))
+    top = each.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "best", "component")).alias("top"), F.count("*").alias("parts")).where(F.col("parts") > 1).select("key", F.col("top.component").alias("top"))
+    return labelled.join(top.hint("merge"), "key")
+
+
+def next_of(open_keys: DataFrame) -> DataFrame:
+    """Of each open key its weightiest node outside the top component, as rep, and all its other nodes."""
+    outside = open_keys.where(F.col("component") != F.col("top"))
+    best = outside.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node", "component")).alias("best"))
+    best = best.select("key", F.col("best.node").alias("rep"), F.col("best.component").alias("rep_component"))
+    return open_keys.join(best.hint("merge"), "key").where(F.col("node") != F.col("rep"))
+
+
+def prefixes(open_keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest items of the nodes' sets, so many that sets similar enough share one: node, component, outside (in a
+    key whose top component it isn't of), n, item, and the item's place i in the order from the rarest."""
+    nodes = open_keys.groupBy("node", "component").agg(F.max((F.col("component") != F.col("top")).cast("int")).alias("outside"))
+    items = sets.join(nodes.hint("merge"), "node").select("node", "component", "outside", F.size("items").alias("n"), "set_id", F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count("*").alias("often")).where(F.col("often") > 1)
+    rarest = Window.partitionBy("node", "set_id").orderBy("often", "item")
+    placed = items.join(often.hint("merge"), "item", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("i", F.row_number().over(rarest))
     # an item of one set pairs nothing, but it takes a place
-    placed = placed.where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("often") > 1))
-    x = placed.where(F.col("outside") == 1).select("item", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("i").alias("ia"))
-    y = placed.select("item", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("i").alias("ib"))
+    return placed.where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("often") > 1)).drop("set_id", "often")
+
+
+def remaining_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that may be similar enough: sets of so large a share in common share one
+    of their rarest items, at places that leave enough items after them.  Nodes of a key's top component are not paired
+    with each other."""
+    side = lambda t, s: t.select("item", F.col("node").alias(s), F.col("component").alias(f"c{s}"), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}"))
     left = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    pairs = x.join(y, "item").where((F.col("ca") != F.col("cb")) & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb"))))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = side(placed.where("outside = 1"), "a").join(side(placed, "b").hint("merge"), "item").where((F.col("ca") != F.col("cb")) & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb"))))
+    return in_order(pairs)
+
+
+def in_order(pairs: DataFrame) -> DataFrame:
+    """(a, ca, b, cb), each pair once, the smaller node first."""
+    swap = F.col("a") > F.col("b")
+    return pairs.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("ca", "cb"), ("b", "a"), ("cb", "ca"))]).distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
+    """(ca, cb) of the pairs with 100 * intersection >= percent * union of their full sets."""
 
     def side(t: DataFrame, s: str) -> DataFrame:
-        return t.select(*[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in t.columns])
+        return t.select(*[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in t.columns]).hint("merge")
 
     sized = pairs.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b")
     sized = sized.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
     same = F.aggregate(F.zip_with("a_sig", "b_sig", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    likely = sized.where(same >= (DOUBT if percent >= 80 else 0) * BANDS * ROWS).select("a", "b").distinct()
-    full = likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
+    likely = sized.where(same >= (DOUBT if percent >= 80 else 0) * BANDS * ROWS).select("a", "b", "ca", "cb", "a_set_id", "b_set_id")
+    full = likely.join(side(sets, "a"), ["a", "a_set_id"]).join(side(sets, "b"), ["b", "b_set_id"])
     common = F.size(F.array_intersect("a_items", "b_items"))
-    return full.where(100 * common >= percent * (F.size("a_items") + F.size("b_items") - common)).select("a", "b").distinct()
+    return full.where(100 * common >= percent * (F.size("a_items") + F.size("b_items") - common)).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def merged(of: DataFrame, links: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """of (node, component), with the components that links (a, b) join made one."""
+    step = components(links, ws, f"{name}-merge")
+    moved = of.join(step.select(F.col("node").alias("component"), F.col("component").alias("to")).hint("merge"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return ws.put(moved.unionAll(step.join(of.select("node").hint("merge"), "node", "left_anti")), name)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -164,45 +187,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     key = docs.schema["doc_id"].dataType.simpleString()
     sketch = ws.put(docs.mapInArrow(lambda it: sketch_batches(it, shingle), f"doc_id {key}, n long, set_id binary, keys array<long>, sig array<tinyint>"), "sketch")
     known = sketch.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    names = ws.put(known.groupBy("set_id").agg(F.min("doc_id").alias("node")), "names")
-    own = ws.put(known.join(names, "set_id").where(F.col("doc_id") == F.col("node")).select("node", "n", "set_id", "keys", "sig").dropDuplicates(["set_id"]), "nodes")
-    nodes = own.select("node", "n", "sig")
-    keyed = own.select("node", F.explode("keys").alias("key"))
+    own = known.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("n", "keys", "sig"), "doc_id").alias("x"))
+    own = ws.put(own.select("set_id", "node", "x.*"), "nodes")
+    nodes = own.select("node", "set_id", "n", "sig")
+    # the keys that several nodes have, in one row a node; a node that meets many others there is what they are likely copies of
+    keyed = own.select("node", "set_id", F.explode(F.array_distinct("keys")).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    met = ws.put(keyed.join(shared, "key").distinct(), "met")
-    # a node that meets many others in its keys is what they are likely copies of
-    members = ws.put(met.join(met.groupBy("node").agg(F.sum("n").alias("weight")), "node").select("key", "node", "weight"), "members")
-    wanted = members.select("node").distinct().join(own.select("node", "set_id"), "node")
-    sets = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "set_id", "text")
-    sets = ws.put(sets.mapInArrow(lambda it: set_batches(it, shingle), f"node {key}, items array<long>").distinct(), "sets")
+    met = keyed.join(shared.hint("merge"), "key").groupBy("node", "set_id").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("weight"))
+    met = ws.put(met, "met")
+    sets = docs.join(met.select("node", "set_id").hint("merge"), docs["doc_id"] == F.col("node")).select("node", "set_id", "text")
+    sets = sets.mapInArrow(lambda it: set_batches(it, shingle), f"node {key}, set_id binary, items array<long>")
+    sets = ws.put(sets.dropDuplicates(["node", "set_id"]), "sets")
     # rows of one doc_id belong together, whatever their sets
-    several = known.groupBy("doc_id").agg(F.count_distinct("set_id").alias("n")).where(F.col("n") > 1).select("doc_id")
-    links = known.join(several, "doc_id").join(names, "set_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")).distinct()
-    of = components(links, ws, "same")
-    for turn in range(3):
-        labelled = members.join(of, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("component"))
-        several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
-        open_keys = ws.put(labelled.join(several, "key"), f"open-{turn}")
-        if open_keys.isEmpty():
+    several = known.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).where(F.col("x") != F.col("y")).select("doc_id")
+    several, found = ws.counted(several, "several")
+    links = None
+    if found["n"]:
+        links = known.join(several.hint("merge"), "doc_id").join(own.select("set_id", "node").hint("merge"), "set_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")).distinct()
+    rest = ws.put(first_of(met.select("node", "weight", F.explode("keys").alias("key")).distinct()), "rest-0")
+    pairs = rest.select(F.col("rep").alias("a"), F.col("rep").alias("ca"), F.col("node").alias("b"), F.col("node").alias("cb"))
+    found = verified(ws.put(in_order(pairs), "pairs-0"), nodes, sets, percent)
+    of = components(found if links is None else found.unionAll(links), ws, "components-0")
+    for turn in (1, 2):
+        open_keys, some = ws.counted(still_open(rest, of), f"open-{turn}")
+        if not some["n"]:
             break
-        if turn < 2:
-            done, pairs = candidates(open_keys, turn == 0)
-            members = open_keys.join(ws.put(done.select("key", "node"), f"done-{turn}"), ["key", "node"], "left_anti").select("key", "node", "weight")
+        if turn == 1:
+            rest = ws.put(next_of(open_keys), "rest-1")
+            pairs = in_order(rest.where(F.col("component") != F.col("rep_component")).select(F.col("rep").alias("a"), F.col("rep_component").alias("ca"), F.col("node").alias("b"), F.col("component").alias("cb")))
         else:
-            pairs = remaining_pairs(open_keys, sets, percent)
-        found = ws.put(verified(ws.put(pairs, f"pairs-{turn}"), nodes, sets, percent), f"links-{turn}")
-        if not found.isEmpty():
-            merged = found.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-            merged = merged.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-            step = components(merged, ws, f"merge-{turn}")
-            moved = of.join(step.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-            of = ws.put(moved.unionAll(step.join(of.select("node"), "node", "left_anti")), f"components-{turn}")
-    for name in ("met", "members", "sets", "nodes", *[f"{n}-{t}" for t in range(3) for n in ("open", "done", "pairs", "links")]):
-        ws.drop(name)  # the result reads sketch, names and components only
-    labels = names.join(of, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
-    out = sketch.select("doc_id", "n", "set_id").join(labels, "set_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+            pairs = remaining_pairs(ws.put(prefixes(open_keys, sets, percent), "prefixes"), percent)
+        of = merged(of, verified(ws.put(pairs, f"pairs-{turn}"), nodes, sets, percent), ws, f"components-{turn}")
+    for name in ("met", "sets", "several", "prefixes", *[f"{n}-{t}" for t in range(3) for n in ("rest", "open", "pairs")]):
+        ws.drop(name)  # the result reads sketch, nodes and components only
+    labels = own.select("set_id", "node").join(of.hint("merge"), "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
+    # empty sets all have the same null name; they are not dealt out by it
+    alone = sketch.where(F.col("set_id").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    out = sketch.where(F.col("set_id").isNotNull()).join(labels.hint("merge"), "set_id", "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")).unionAll(alone)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:

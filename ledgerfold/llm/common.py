@@ -63,8 +63,8 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
+    def put(self, df: DataFrame, name: str, **options) -> DataFrame:
+        df.write.options(compression="zstd", **options).parquet(f"{self.root}/{name}")
         return self.get(df, name)
 
     def counted(self, df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:

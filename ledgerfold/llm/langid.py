@@ -9,6 +9,9 @@ SAMPLE_SYMBOLS symbols in all, and with many languages their even share of ALL_S
 too).  Symbols are lower-case letters, all that the samples hold; runs of anything else are one blank.  Transitions
 beyond the WIDTH most frequent symbols are kept sparsely, so thousands of letters don't widen the table.
 
+The bounded sample travels to the executors, and each of their Python workers builds the automata once; the driver
+holds no automaton.
+
 Null texts and texts without a letter are "und" with score 0.  Without any labelled text all are "und".  Ties go to
 the language first in code-point order.  Repeated rows each get their result.  A null doc_id is neither learned from
 nor held out.
@@ -16,6 +19,7 @@ nor held out.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -24,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fields, ship
 from .kernels import pieces
@@ -35,6 +40,7 @@ ALL_SYMBOLS = 400_000
 #: Symbols with a column of their own in the table of transitions.
 WIDTH = 94
 BLOCK = 4096
+NAMES = ("lang_pred", "score", "phrase_rate", "n_symbols")
 FAILED = np.int32(1 << 30)
 
 
@@ -179,11 +185,11 @@ class Model:
         np.add.at(out, owner, count.T)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score, and phrases per symbol in the language, of each text."""
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, phrases per symbol in the language, and symbols, of each text."""
         sym, at, letters = symbols(texts, self.alphabet)
         if not self.langs:
-            return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts))
+            return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts)), np.diff(at)
         count = self.phrases(sym, at)
         cost = count * self.weights
         best = cost.argmin(axis=1)
@@ -193,45 +199,67 @@ class Model:
         second = cost.min(axis=1)
         score = np.where(np.isinf(second), 1.0, 1 - low / np.maximum(np.where(np.isinf(second), 1, second), 1e-9))
         rate = count[row, best] / np.maximum(np.diff(at), 1)
-        return [self.langs[b] if ok else "und" for b, ok in zip(best, letters)], np.where(letters, np.clip(score, 0, 1), 0.0), np.where(letters, rate, 1.0)
+        return [self.langs[b] if ok else "und" for b, ok in zip(best, letters)], np.where(letters, np.clip(score, 0, 1), 0.0), np.where(letters, rate, 1.0), np.diff(at)
+
+
+class Samples:
+    """The learned-from text of each language; model() builds the automata, once in a process."""
+
+    _built: tuple[str, Model] | None = None
+
+    def __init__(self, texts: dict[str, list[str]]):
+        self.texts = texts
+        self.name = hashlib.blake2b(repr(sorted(texts.items())).encode("utf-8", "surrogatepass")).hexdigest()
+
+    def model(self) -> Model:
+        if Samples._built is None or Samples._built[0] != self.name:
+            Samples._built = None
+            Samples._built = self.name, Model(self.texts)
+        return Samples._built[1]
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model:
-    """Fits on the bounded sample described above; documents that are held out have no part."""
-    own = fields(docs, "doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    ids = own.distinct().withColumn("h", F.xxhash64("doc_id", F.lit(5)))
+def learn(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> Samples:
+    """The bounded sample described above; documents that are held out, and texts without a letter, have no part."""
+    own = fields(docs, "doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}"))
+    ids = own.select("doc_id", "lang").distinct().withColumn("h", F.xxhash64("doc_id", F.lit(5)))
     for salted in (F.pmod("h", F.lit(1024)), F.lit(0)):  # the lowest of a part first, so no language is one group in one task
         lowest = Window.partitionBy("lang", salted).orderBy(F.shiftright("h", 10), "h", "doc_id")
         ids = ids.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= per_lang)
     picked = {r["doc_id"] for r in ids.select("doc_id").collect()}  # per_lang for each language
     if not picked:
-        return Model({})
-    part = fields(docs, "doc_id", "lang", "text").where(F.col("doc_id").isin(sorted(picked)) & F.col("lang").isNotNull())
-    rows = part.select("doc_id", "lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text")).where(F.col("text").isNotNull()).collect()
+        return Samples({})
+    rows = own.where(F.col("doc_id").isin(sorted(picked))).select("doc_id", "lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         own_texts = samples.setdefault(r["lang"], [])
         if (have := sum(map(len, own_texts))) < SAMPLE_SYMBOLS:
             own_texts.append(r["text"][: max(SAMPLE_SYMBOLS // 8, SAMPLE_SYMBOLS - have if have > SAMPLE_SYMBOLS * 7 // 8 else 0)] + " ")
-    return Model(samples)
+    return Samples(samples)
 
 
-def predict_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def predict_batches(batches: Iterator[pa.RecordBatch], samples, names: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     for part, texts in pieces(batches):
-        lang, score, rate = model.value.predict([t.decode("utf-8", "replace") for t in texts])
-        yield pa.RecordBatch.from_arrays([*(c for c, n in zip(part.columns, part.schema.names) if n != "text"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], names=[*(n for n in part.schema.names if n != "text"), "lang_pred", "score", "phrase_rate"])
+        lang, score, rate, size = samples.value.model().predict([t.decode("utf-8", "replace") for t in texts])
+        told = (pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64()), pa.array(size, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*part.columns, *told], names=[*part.schema.names, *names])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score (by how much, relatively, the best language beats the next), phrase_rate."""
+def annotated(docs: DataFrame, samples: Samples, names: tuple[str, str, str, str] = NAMES) -> DataFrame:
+    """The rows of docs with all their columns and, under these names, language, score (by how much, relatively, the best
+    language beats the next), phrases per symbol in the language, and symbols.  Nothing is shuffled or joined."""
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, phrase_rate double"
-    return fields(docs, "doc_id", "text").mapInArrow(lambda it: predict_batches(it, sent), kind)
+    sent = docs.sparkSession.sparkContext.broadcast(samples)
+    kind = T.StructType([*docs.schema.fields, *(T.StructField(n, t()) for n, t in zip(names, (T.StringType, T.DoubleType, T.DoubleType, T.LongType)))])
+    return docs.mapInArrow(lambda it: predict_batches(it, sent, names), kind)
+
+
+def identify(docs: DataFrame, samples: Samples) -> DataFrame:
+    """doc_id and the columns NAMES."""
+    return annotated(fields(docs, "doc_id", "text"), samples).drop("text")
 
 
 def op2_language(spark, sf_dir: str) -> DataFrame:

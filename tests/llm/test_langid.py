@@ -20,7 +20,7 @@ def test_no_learned_letter_is_thrown_away():
     model = langid.Model(samples)
     assert model.letters > 600
     texts = [(lang, p()) for lang, p in prose.items() for _ in range(20)]
-    lang, _, rate = model.predict([t for _, t in texts])
+    lang, _, rate, _ = model.predict([t for _, t in texts])
     assert lang == [g for g, _ in texts] and max(r for r, (g, _) in zip(rate, texts) if g != "ja") < 0.6
 
 

@@ -107,7 +107,7 @@ def test_language(spark, hard, hard_rows, nothing):
     found = langid.identify(docs, langid.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").where(langid.held_out())
     assert found.where("lang = lang_pred").count() >= 0.95 * found.count() > 0
     assert langid.identify(nothing, langid.learn(nothing)).count() == 0
-    assert {r["lang_pred"] for r in langid.identify(hard, langid.Model({})).collect()} == {"und"}
+    assert {r["lang_pred"] for r in langid.identify(hard, langid.Samples({})).collect()} == {"und"}
 
 
 # ---- 3: tokens ----

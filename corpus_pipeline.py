@@ -13,18 +13,25 @@ from ledgerfold.llm.common import Workspace
 
 #: Texts that need more phrases a symbol than this are in no learned language; prose needs a quarter of that.
 MOST_PHRASES = 0.6
+#: Of fewer symbols the number of phrases says too little.
+LEAST_SYMBOLS = 20
 
 
-def _only(docs: DataFrame, decided: DataFrame, keep) -> DataFrame:
-    """The rows of docs whose doc_id decided keeps; rows without a doc_id, on which nothing was decided, stay."""
-    drop = decided.where(F.col("doc_id").isNotNull() & ~keep).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["__gone"], "left_anti")
+def own_names(docs: DataFrame, *names: str) -> tuple[str, ...]:
+    """These names, lengthened until docs has no column of them."""
+    taken = {c.lower() for c in docs.columns}
+    tail = ""
+    while any((n + tail).lower() in taken for n in names):
+        tail += "_"
+    return tuple(n + tail for n in names)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts in none of the languages of the labels."""
-    found = langid.identify(docs, langid.learn(docs))
-    return _only(docs, found, (F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MOST_PHRASES))
+    """Drops texts without a letter and texts in none of the languages of the labels.  Each row is judged by itself."""
+    names = own_names(docs, "lang_pred", "score", "phrase_rate", "n_symbols")
+    found = langid.annotated(docs, langid.learn(docs), names)
+    pred, _, rate, size = (F.col(n) for n in names)
+    return found.where((pred != "und") & ((size < LEAST_SYMBOLS) | (rate <= MOST_PHRASES))).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +41,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest doc_id."""
-    return _only(docs, minhash.near_duplicates(docs), F.col("kept"))
+    """Keeps one document of each group of near duplicates: the one with the smallest doc_id.  Rows without a doc_id are
+    in no group and stay."""
+    (gone,) = own_names(docs, "gone")
+    drop = minhash.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(drop.hint("merge"), docs["doc_id"] == drop[gone], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
-    found = decontam.report(decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    return _only(docs, found, ~F.col("contaminated"))
+    """Drops documents whose text holds a benchmark passage, whatever their doc_id."""
+    (gone,) = own_names(docs, "gone")
+    found = decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    drop = found.where(F.size("items") > 0).select(F.col("text_id").alias(gone)).distinct()
+    return docs.join(drop, F.unhex(F.md5(docs["text"].cast("binary"))) == drop[gone], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

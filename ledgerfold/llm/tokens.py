@@ -1,18 +1,28 @@
-"""Operator 3: token counts by a separator scan over flat, unindexed token streams.
+"""Operator 3: token counts by a separator scan over flat, unindexed token files.
 
-A stream is documents' token ids one after another, each document ended by the identifier `eos`; there is no index.  It
-comes in blocks of a fixed number of tokens, cut without regard to documents: from files (`read_token_files`) or
-straight from a tokenizer (`token_blocks`).  Each block is searched for separators at once, on its own.  Prefix scans
-over the blocks of a stream (running sum of lengths, running maximum of the last separator) then stitch the documents
-that go on across blocks, however many.  Only the blocks' summaries are scanned, a few numbers for BLOCK tokens.
+A file is documents' token ids one after another, little-endian and of a fixed width, each document ended by the
+identifier `eos`; there is no index.  Blocks of a fixed number of tokens are read by their offset, without regard to
+files' sizes or to documents.  Each block is searched for separators at once, on its own.  Prefix scans over the blocks
+of a file (running sum of lengths, running maximum of the last separator) then stitch the documents that go on across
+blocks, however many.  Only the blocks' summaries are scanned, a few numbers for BLOCK tokens.
 
-Null and empty texts are documents of no tokens.  A document at the end of a stream without a separator counts as well
+`write_token_files` makes such files from documents, in the shared folder, a few for each task; a task that is run again
+writes under other names, and only files of tasks that counted are listed.  What it lists is the files, and which
+documents it put into each, in order; where these begin is for the scan to find.
+
+Executors read ranges of files in local folders and of what pyarrow has file systems for (HDFS, S3, GCS).  Files in
+other stores come whole, by Spark's reader, which takes up to 2 GB each.
+
+Null and empty texts are documents of no tokens.  A document at the end of a file without a separator counts as well
 (`ended` false).  Rows that repeat are documents of their own.  Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import base64
+import os
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +33,18 @@ from pyspark.sql import functions as F
 from .common import Workspace, fields, ship
 from .kernels import pieces
 
-BLOCK = 1 << 16
+#: Tokens of a block, and of a file that write_token_files makes.
+BLOCK = 1 << 18
+FILE = 1 << 23
+#: Tokens that one task reads.
+TASK = 1 << 23
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 EOS = 50256
 #: Fixed value: how the vocabulary's tokenizer cuts text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of so much white space are cut off before PATTERN, which would try each of their places, sees them.
+LONG_BLANKS = re.compile("[\t-\r\x20\x85\xa0  -     　]{1024,}")
+RANGED = ("file", "hdfs", "s3", "s3a", "gs")
 
 
 class Encoder:
@@ -37,6 +54,7 @@ class Encoder:
         with open(path, "rb") as f:
             self.raw = f.read()
         self.pattern, self.eos, self.inner = pattern, eos, None
+        self.width = 2 if max(eos, len(self.raw.splitlines()) - 1) < 1 << 16 else 4
 
     def __getstate__(self):
         return self.__dict__ | {"inner": None}
@@ -47,101 +65,171 @@ class Encoder:
 
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in self.raw.splitlines() if line)}
             self.inner = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
-        return [self.inner.encode_ordinary(t) for t in texts]
-
-
-def blocks_of(parts: Iterator[tuple[np.ndarray, list]], size: int) -> Iterator[tuple[np.ndarray, list]]:
-    """(tokens, ids of the documents that end in them) in blocks of size tokens, from arrays each ending with a document.
-
-    parts: tokens, and (place of the separator, id) pairs."""
-    held, ids, count = [], [], 0
-    for tokens, ends in parts:
-        at, i = 0, 0
-        while at < len(tokens):
-            take = min(size - count, len(tokens) - at)
-            held.append(tokens[at : at + take])
-            while i < len(ends) and ends[i][0] < at + take:
-                ids.append(ends[i][1])
-                i += 1
-            at, count = at + take, count + take
-            if count == size:
-                yield np.concatenate(held), ids
-                held, ids, count = [], [], 0
-    if count:
-        yield np.concatenate(held), ids
-
-
-def encode_batches(batches: Iterator[pa.RecordBatch], encoder, size: int) -> Iterator[pa.RecordBatch]:
+        return [self._one(t) for t in texts]
+
+    def _one(self, text: str) -> list[int]:
+        """PATTERN takes a run of white space before a word but for its last character, and one at the end whole; so a
+        long run is a piece of its own, and what is left and right of it is cut as it would be with it."""
+        long = list(LONG_BLANKS.finditer(text)) if self.pattern == PATTERN and len(text) >= 1024 else []
+        if not long:
+            return self.inner.encode_ordinary(text)
+        out, at = [], 0
+        for m in long:
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            out += self.inner.encode_ordinary(text[at : m.start()])
+            out += self.inner._encode_single_piece(text[m.start() : end].encode())
+            at = end
+        return out + self.inner.encode_ordinary(text[at:])
+
+
+# ---- files ----
+
+
+def opened(path: str, mode: str):
+    """A binary file to read ("rb") or write ("wb"), by a URL that Spark knows too."""
+    scheme, _, rest = path.partition(":") if re.match(r"[a-z0-9]+:/", path) else ("file", "", path)
+    if scheme == "file":
+        local = "/" + rest.lstrip("/")
+        if mode == "wb":
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+        return open(local, mode)
+    from pyarrow import fs
+
+    host, _, name = rest.removeprefix("//").partition("/")
+    if scheme == "hdfs":
+        store, name = fs.FileSystem.from_uri(f"hdfs://{host or 'default'}/")[0], "/" + name
+    else:
+        store, name = (fs.GcsFileSystem() if scheme == "gs" else fs.S3FileSystem()), f"{host}/{name}"
+    return store.open_input_file(name) if mode == "rb" else store.open_output_stream(name)
+
+
+def file_batches(batches: Iterator[pa.RecordBatch], encoder, folder: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Writes the documents' tokens into files of about size tokens; (path, tokens, ids) of each file."""
     from pyspark import TaskContext
 
-    def parts():
-        for part, texts in pieces(batches):
-            coded = encoder.value.encode([t.decode("utf-8", "replace") for t in texts])
-            ends = np.cumsum([len(c) + 1 for c in coded]) - 1
-            tokens = np.empty(int(ends[-1]) + 1, np.uint32)
-            for c, e in zip(coded, ends):
-                tokens[e - len(c) : e], tokens[e] = c, encoder.value.eos
-            yield tokens, list(zip(ends.tolist(), part.column(0).to_pylist()))
-
-    stream = f"part-{TaskContext.get().partitionId():06d}"
-    for n, (tokens, ids) in enumerate(blocks_of(parts(), size)):
-        yield pa.RecordBatch.from_arrays([pa.array([stream]), pa.array([n], pa.int64()), pa.array([tokens.tobytes()], pa.binary()), pa.array([ids], pa.list_(pa.int64()))], names=["stream", "block", "tokens", "ids"])
-
-
-def token_blocks(docs: DataFrame, encoder: Encoder, size: int = BLOCK) -> DataFrame:
-    """stream, block, tokens (little-endian 32-bit), ids: of the documents that end in the block, in order."""
+    code, own, n = encoder.value, f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", 0
+    out, path, written, ids = None, "", 0, []
+
+    def done():
+        out.close()
+        return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([written], pa.int64()), pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids))], names=["path", "tokens", "ids"])
+
+    for part, texts in pieces(batches):
+        coded = code.encode([t.decode("utf-8", "replace") for t in texts])
+        ends = np.cumsum([len(c) + 1 for c in coded])
+        tokens = np.empty(int(ends[-1]), f"<u{code.width}")
+        for c, e in zip(coded, ends):
+            tokens[e - 1 - len(c) : e - 1], tokens[e - 1] = c, code.eos
+        if out is None:
+            path, written, ids, n = f"{folder}/{own}-{n:04d}.tokens", 0, [], n + 1
+            out = opened(path, "wb")
+        out.write(tokens.tobytes())
+        written += len(tokens)
+        ids.append(part.column(0))
+        if written >= size:
+            yield done()
+            out = None
+    if out is not None:
+        yield done()
+
+
+def write_token_files(docs: DataFrame, encoder: Encoder, ws: Workspace, size: int = FILE) -> DataFrame:
+    """path, tokens, ids: the files made, and the documents in each, in order."""
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(encoder)
-    rows = fields(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda it: encode_batches(it, sent, size), "stream string, block long, tokens binary, ids array<long>")
+    sent, folder = docs.sparkSession.sparkContext.broadcast(encoder), f"{ws.root}/files"
+    kind = f"path string, tokens long, ids array<{docs.schema['doc_id'].dataType.simpleString()}>"
+    files = ws.put(fields(docs, "doc_id", "text").mapInArrow(lambda it: file_batches(it, sent, folder, size), kind), "listed")
+    sent.destroy()
+    return files
 
 
-def file_batches(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
+def range_batches(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The tokens of blocks (path, block)."""
+    path, file = None, None
+    for batch in batches:
+        for p, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if p != path:
+                if file:
+                    file.close()
+                path, file = p, opened(p, "rb")
+            file.seek(n * size * width)
+            raw = file.read(size * width)
+            yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([n], pa.int64()), pa.array([raw], pa.binary())], names=["stream", "block", "tokens"])
+    if file:
+        file.close()
+
+
+def whole_batches(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            tokens = np.frombuffer(raw.as_buffer(), f"<u{width}")
-            for n, i in enumerate(range(0, len(tokens), size)):
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64()), pa.array([tokens[i : i + size].astype("<u4").tobytes()], pa.binary()), pa.array([None], pa.list_(pa.int64()))], names=["stream", "block", "tokens", "ids"])
+            buffer = raw.as_buffer()
+            for n, i in enumerate(range(0, len(buffer), size * width)):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64()), pa.array([buffer[i : i + size * width].to_pybytes()], pa.binary())], names=["stream", "block", "tokens"])
+
+
+def blocks_in(files: DataFrame, width: int, size: int = BLOCK) -> DataFrame:
+    """stream (the path), block, tokens of files (path, bytes), each block read by its offset, by any task."""
+    ship(files.sparkSession)
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    blocks = files.where(F.col("bytes") > 0).select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / (size * width)))).alias("block"))
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-total // (TASK * width)))
+    spread = blocks.repartition(tasks, "path", F.floor(F.col("block") * size / TASK)).sortWithinPartitions("path", "block")
+    return spread.mapInArrow(lambda it: range_batches(it, size, width), "stream string, block long, tokens binary")
 
 
 def read_token_files(spark: SparkSession, path: str, width: int = 2, size: int = BLOCK) -> DataFrame:
-    """Blocks of flat files of little-endian token ids of width bytes; each file is a stream and is read by one task."""
+    """Blocks of the flat files of token ids of width bytes that path names."""
     ship(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(lambda it: file_batches(it, size, width), "stream string, block long, tokens binary, ids array<long>")
+    files = spark.read.format("binaryFile").load(path)
+    scheme = re.match(r"([a-z0-9]+):/", path)
+    if scheme and scheme[1] not in RANGED:
+        return files.select("path", "content").mapInArrow(lambda it: whole_batches(it, size, width), "stream string, block long, tokens binary")
+    return blocks_in(files.select("path", F.col("length").alias("bytes")), width, size)
+
+
+# ---- scan ----
 
 
-def scan_batches(batches: Iterator[pa.RecordBatch], eos: int) -> Iterator[pa.RecordBatch]:
+def scan_batches(batches: Iterator[pa.RecordBatch], eos: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         length, first, last, inner = [], [], [], []
         for raw in batch.column(2):
-            tokens = np.frombuffer(raw.as_buffer(), "<u4")
+            tokens = np.frombuffer(raw.as_buffer(), f"<u{width}")
             at = np.flatnonzero(tokens == eos)
             length.append(len(tokens))
             first.append(int(at[0]) if len(at) else None)
             last.append(int(at[-1]) if len(at) else None)
             inner.append(np.diff(at) - 1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(length, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(inner, pa.list_(pa.int64())), batch.column(3)], names=["stream", "block", "length", "first", "last", "inner", "ids"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(length, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(inner, pa.list_(pa.int64()))], names=["stream", "block", "length", "first", "last", "inner"])
 
 
-def count_tokens(blocks: DataFrame, eos: int = EOS) -> DataFrame:
-    """stream, nth (of the document in the stream, from 0), doc_id (null where blocks have none), n_tokens, ended."""
-    ws = Workspace(blocks.sparkSession, "tokens")
-    found = ws.put(blocks.mapInArrow(lambda it: scan_batches(it, eos), "stream string, block long, length long, first long, last long, inner array<long>, ids array<long>"), "scan")
+def count_tokens(blocks: DataFrame, eos: int = EOS, width: int = 2, ws: Workspace | None = None) -> DataFrame:
+    """stream, nth (of the document in the stream, from 0), n_tokens, ended."""
+    ws = ws or Workspace(blocks.sparkSession, "tokens")
+    found = ws.put(blocks.mapInArrow(lambda it: scan_batches(it, eos, width), "stream string, block long, length long, first long, last long, inner array<long>"), "scan")
     before = Window.partitionBy("stream").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     n = F.when(F.col("first").isNull(), 0).otherwise(F.size("inner") + 1)
-    # the scans see the blocks' numbers only, the lists of documents are joined again
+    # the scans see the blocks' numbers only, the lists of lengths are joined again
     scans = found.select("stream", "block", "length", "first", "last", n.alias("n")).withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0)))
     scans = scans.withColumn("previous", F.coalesce(F.max(F.col("start") + F.col("last")).over(before), F.lit(-1))).withColumn("nth", F.coalesce(F.sum("n").over(before), F.lit(0)))
     head = scans.where(F.col("first").isNotNull()).select("stream", "block", "nth", (F.col("start") + F.col("first") - F.col("previous") - 1).alias("head"))
-    rows = found.select("stream", "block", "inner", "ids").join(head, ["stream", "block"])
-    each = rows.select("stream", "nth", "ids", F.posexplode(F.concat(F.array("head"), "inner")).alias("i", "n_tokens"))
-    done = each.select("stream", (F.col("nth") + F.col("i")).alias("nth"), F.get("ids", F.col("i")).alias("doc_id"), "n_tokens", F.lit(True).alias("ended"))
+    rows = found.select("stream", "block", "inner").join(head, ["stream", "block"])
+    each = rows.select("stream", "nth", F.posexplode(F.concat(F.array("head"), "inner")).alias("i", "n_tokens"))
+    done = each.select("stream", (F.col("nth") + F.col("i")).alias("nth"), "n_tokens", F.lit(True).alias("ended"))
     ends = scans.groupBy("stream").agg(F.sum("length").alias("all"), F.max(F.col("start") + F.col("last")).alias("last"), F.sum("n").alias("nth"))
     rest = (F.col("all") - F.coalesce("last", F.lit(-1)) - 1).alias("n_tokens")
-    return done.unionAll(ends.select("stream", "nth", F.lit(None).cast("long").alias("doc_id"), rest, F.lit(False).alias("ended")).where(F.col("n_tokens") > 0))
+    return done.unionAll(ends.select("stream", "nth", rest, F.lit(False).alias("ended")).where(F.col("n_tokens") > 0))
+
+
+def document_tokens(docs: DataFrame, encoder: Encoder, file: int = FILE, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_tokens of every row of docs, by way of flat files."""
+    ws = Workspace(docs.sparkSession, "tokens")
+    files = write_token_files(docs, encoder, ws, file)
+    width = encoder.width
+    counts = count_tokens(blocks_in(files.select("path", (F.col("tokens") * width).alias("bytes")), width, block), encoder.eos, width, ws)
+    named = files.select(F.col("path").alias("stream"), F.posexplode("ids").alias("nth", "doc_id"))
+    return named.join(counts.where("ended").hint("merge"), ["stream", "nth"]).select("doc_id", "n_tokens")
 
 
 def op3_tokens(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return count_tokens(token_blocks(docs, Encoder())).select("doc_id", "n_tokens")
+    return document_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), Encoder())

@@ -113,20 +113,51 @@ def test_language(spark, hard, hard_rows, nothing):
 # ---- 3: tokens ----
 
 
-def test_tokens(spark, hard, hard_rows, nothing, tmp_path):
-    encoder = tokens.Encoder()
+@pytest.fixture(scope="module")
+def encoder():
+    return tokens.Encoder()
+
+
+def test_tokens(spark, hard, hard_rows, nothing, tmp_path, encoder):
     coded = encoder.encode([r[1] or "" for r in hard_rows])
     want = Counter((r[0], len(c)) for r, c in zip(hard_rows, coded))
-    found = tokens.count_tokens(tokens.token_blocks(hard, encoder, size=1000))
-    assert Counter((r["doc_id"], r["n_tokens"]) for r in found.collect()) == want
-    assert tokens.count_tokens(tokens.token_blocks(nothing, encoder)).count() == 0
-    for n, flat in enumerate(([t for c in coded for t in (*c, 50256)], [1, 2, 3], [50256, 50256, 5])):
+    assert encoder.width == 2
+    assert Counter(map(tuple, tokens.document_tokens(hard, encoder, file=5000, block=1000).collect())) == want
+    assert tokens.document_tokens(nothing, encoder).count() == 0
+    for n, flat in enumerate(([t for c in coded for t in (*c, 50256)], [1, 2, 3], [50256, 50256, 5], [])):
         np.array(flat, "<u2").tofile(tmp_path / f"{n}.bin")
-    rows = tokens.count_tokens(tokens.read_token_files(spark, f"file://{tmp_path}/*.bin", size=97)).orderBy("stream", "nth").collect()
+    blocks = tokens.read_token_files(spark, f"file://{tmp_path}/*.bin", size=97)
+    rows = tokens.count_tokens(blocks).orderBy("stream", "nth").collect()
     assert [r["n_tokens"] for r in rows] == [*map(len, coded), 3, 0, 0, 1]
     assert [r["ended"] for r in rows] == [True] * len(coded) + [False, True, True, False]
 
 
+def test_a_token_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "TASK", 1000)
+    rng = np.random.default_rng(3)
+    flat = rng.integers(0, 200_000, 50_000).astype("<u4")
+    flat[rng.integers(0, len(flat), 40)] = 199_999
+    flat.tofile(tmp_path / "one.bin")
+    blocks = tokens.read_token_files(spark, f"file://{tmp_path}/one.bin", width=4, size=250)
+    assert blocks.rdd.getNumPartitions() == 50 and blocks.select(F.spark_partition_id()).distinct().count() > 20
+    cuts = np.flatnonzero(flat == 199_999)
+    rows = tokens.count_tokens(blocks, 199_999, 4).orderBy("nth").collect()
+    assert [r["n_tokens"] for r in rows] == [*(np.diff(np.concatenate([[-1], cuts])) - 1).tolist(), len(flat) - cuts[-1] - 1]
+    whole = spark.read.format("binaryFile").load(f"file://{tmp_path}/one.bin").select("path", "content").mapInArrow(lambda it: tokens.whole_batches(it, 333, 4), "stream string, block long, tokens binary")
+    assert [r["n_tokens"] for r in tokens.count_tokens(whole, 199_999, 4).orderBy("nth").collect()] == [r["n_tokens"] for r in rows]
+
+
+def test_long_blanks_make_the_same_tokens(spark, encoder):
+    rng = random.Random(8)
+    encoder.encode([""])
+    for _ in range(60):
+        text = "".join(rng.choice(("ab's ", "x1", "\u3000", "!", "'", " ", "\x1c", "\u00e9 ")) + rng.choice((" ", "\n", " \n", "\t ", "\u2003")) * rng.choice((0, 1, 3, 1023, 1024, 1500, 2100)) for _ in range(rng.randint(1, 6)))
+        assert encoder.encode([text])[0] == encoder.inner.encode_ordinary(text)
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "a" + "\n" * 1_000_000 + "b"), (3, "!" * 1_000_000), (4, "\u2003" * 300_000 + "x")], "doc_id long, text string")
+    found = dict(map(tuple, tokens.document_tokens(docs, encoder).collect()))
+    assert found[1] == 1_000_000 and found[2] == 1 + len(encoder.inner._encode_single_piece("\n" * 999_999)) + 2 and set(found) == {1, 2, 3, 4}
+
+
 # ---- 4, 8: passages ----
 
 

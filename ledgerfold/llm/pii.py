@@ -1,16 +1,20 @@
 """Operator 9: personal data, and what gives it away, by corpus co-occurrence.  DataFrame functions only.
 
-Base spans are e-mail addresses, IP addresses, card and phone numbers, by pattern and check.  Each distinct value is a
-protected entity.  A term (a run of three or more letters, lower-cased) in a document that holds an entity is a
-possible clue.  With n documents, of which n(t) hold the term, n(e) the entity and n(t,e) both,
+Base spans are e-mail addresses, IP addresses, card and phone numbers, by pattern and check.  Each gives protected
+entities at three LEVELS: its exact value, the group that value is of (an address's mail domain, an IP's network of
+three numbers, a card's issuer prefix of six digits, a phone's first four digits), and its kind.  A term (a run of three
+or more letters, lower-cased) in a document that holds an entity is a possible clue to it.  With n documents, of which
+n(t) hold the term, n(e) the entity and n(t,e) both,
 
-    disclosure = log(n(t,e) * n / (n(t) * n(e))) / log(n / n(e))
+    disclosure = log(n(t,e) * n / ((n(t) + PRIOR) * n(e))) / log(n / n(e))
 
 is the pointwise mutual information over the entity's own information: 1 where the term never appears without the
-entity.  Pairs seen in fewer than SUPPORT different texts tell nothing.  Terms of at least THRESHOLD are generalised
-(to <TERM>), those of 1 removed, wherever they stand in a document that holds that entity; terms that overlap a base
-span are left to it.  As n(t,e) <= n(e), disclosure is at most log(n / n(t)) / log(n / n(e)); pairs for which that is
-below THRESHOLD are not formed, which changes no result.
+entity.  PRIOR documents that hold the term without the entity are added for groups and kinds, which are common enough
+for chance to put a rare term next to them: the commoner the entity, the more documents it takes to be sure.  Pairs seen
+in fewer than SUPPORT different texts tell nothing.  Terms of at least their level's THRESHOLD are generalised (to
+<TERM>), those of 1 removed, wherever they stand in a document that holds that entity; terms that overlap a base span
+are left to it.  As n(t,e) <= n(e), disclosure is at most log(n / n(t)) / log(n / n(e)); pairs for which that is below
+the threshold are not looked at, which changes no result.
 
 Patterns are anchored at run starts and possessive, so texts of any length take time in proportion, and match exactly
 what the plain patterns match.  Null texts count as empty.  Rows that repeat get the same result each; spans are
@@ -25,7 +29,9 @@ from pyspark.sql import functions as F
 from .common import Workspace, fields
 
 SUPPORT = 2
-THRESHOLD = 0.9
+LEVELS = ("value", "group", "kind")
+THRESHOLDS = (0.9, 0.9, 0.9)
+PRIOR = (0, 1, 1)
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: In the order in which kinds are listed.  \G: a match may start right where the one before it ended.
@@ -99,21 +105,29 @@ def terms_of(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0)), F.lower)
 
 
-def pairs_of(texts: DataFrame, holds: DataFrame, terms: DataFrame, n: int, support: int, threshold: float) -> DataFrame:
-    """entity, term, id, docs, n_term, n_entity: the texts that hold both, where the pair can reach the threshold."""
-    words = texts.select("id", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
-    rows = words.join(terms.where(F.col("n_term") >= support), "term").join(holds, "id")
-    least = threshold * F.log(F.lit(n) / F.col("n_entity")) - 1e-9
-    return rows.where(F.log(F.lit(n) / F.col("n_term")) >= least)
+def entities_of(span: Column) -> Column:
+    """What a base span protects, as array of (level, entity)."""
+    kind, v = span["kind"].cast("string"), F.lower(span["value"])
+    value = F.when(span["kind"] <= 1, v).otherwise(digits(v))
+    group = F.when(span["kind"] == 0, F.substring_index(v, "@", -1)).when(span["kind"] == 1, F.substring_index(v, ".", 3)).otherwise(F.substring(digits(v), 1, F.when(span["kind"] == 2, 6).otherwise(4)))
+    return F.array(*[F.struct(F.lit(i).alias("level"), F.concat_ws(":", *parts).alias("entity")) for i, parts in enumerate(((kind, value), (kind, group), (kind,)))])
+
+
+def by_level(values: tuple) -> Column:
+    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("level") + 1)
 
 
-def disclosures(pairs: DataFrame, n: int, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """entity, term, disclosure: the pairs at or above the threshold."""
-    joint = pairs.groupBy("entity", "term", "n_term", "n_entity").agg(F.sum("docs").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+def disclosures(texts: DataFrame, holds: DataFrame, terms: DataFrame, n: int, support: int, thresholds: tuple) -> DataFrame:
+    """level, entity, term, disclosure at or above the threshold, from texts (id, text), holds (id, level, entity, docs
+    that are copies of the text, n_entity) and terms (term, n_term)."""
+    words = texts.select("id", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+    both = words.join(holds, "id").groupBy("level", "entity", "n_entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    pairs = both.join(terms.where(F.col("n_term") >= support).hint("merge"), "term")
     # with n(e) = n the entity has no information to give away
     own = F.log(F.lit(n) / F.col("n_entity"))
-    share = F.when(own > 0, F.log(F.col("both") * F.lit(n) / (F.col("n_term") * F.col("n_entity"))) / own)
-    return joint.withColumn("disclosure", share).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
+    pairs = pairs.where(F.log(F.lit(n) / F.col("n_term")) >= by_level(thresholds) * own - 1e-9)
+    share = F.when(own > 0, F.log(F.col("both") * F.lit(n) / ((F.col("n_term") + by_level(PRIOR)) * F.col("n_entity"))) / own)
+    return pairs.withColumn("disclosure", share).where(F.col("disclosure") >= by_level(thresholds)).select("level", "entity", "term", "disclosure")
 
 
 def told_at(text: Column, told: Column) -> Column:
@@ -132,28 +146,26 @@ def told_at(text: Column, told: Column) -> Column:
     return F.aggregate(steps, start, step)["found"]
 
 
-def find(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def find(docs: DataFrame, support: int = SUPPORT, thresholds: tuple = THRESHOLDS) -> DataFrame:
     """doc_id, id (of the text), base and terms: arrays of (start, kind number, end, value), where kind 4 is a term and
-    value its disclosure."""
+    value its disclosure, the highest if several entities of the document have it."""
     ws = Workspace(docs.sparkSession, "pii")
     docs = fields(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("id", F.md5("text"))
     full = ws.put(base(docs).select("doc_id", "id", F.col("spans").alias("base")), "base")
-    spans = full.select("doc_id", "id", F.explode("base").alias("s"))
-    entity = F.concat_ws(":", "s.kind", F.when(F.col("s.kind") == 0, F.lower("s.value")).otherwise(digits(F.col("s.value"))))
-    holds = spans.select("doc_id", "id", entity.alias("entity")).distinct().groupBy("entity", "id").agg(F.count("*").alias("docs"))
-    holds = ws.put(holds, "holds")
-    entities = holds.groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    holds = ws.put(holds.join(entities.drop("texts"), "entity"), "shared")
-    # what a text tells is the same in each of its copies
-    texts = ws.put(docs.join(holds.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    # each text is told once, with the number of rows that are it
+    held = full.where(F.size("base") > 0).select("id", F.explode(F.array_distinct(F.flatten(F.transform("base", entities_of)))).alias("e"))
+    holds = ws.put(held.select("id", "e.*").groupBy("level", "entity", "id").agg(F.count("*").alias("docs")), "holds")
+    entities = holds.groupBy("level", "entity").agg(F.sum("docs").alias("n_entity"), F.count("*").alias("texts")).where(F.col("texts") >= support).drop("texts")
+    holds = ws.put(holds.join(entities.hint("merge"), ["level", "entity"]), "shared")
+    texts = ws.put(docs.join(holds.select("id").distinct().hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
     # combined within each task before the terms are dealt out
     terms = docs.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n = docs.count()
-    pairs = ws.put(pairs_of(texts, holds, terms, n, support, threshold), "pairs")
-    told = pairs.join(disclosures(pairs, n, support, threshold), ["entity", "term"]).groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
+    told = ws.put(disclosures(texts, holds, terms, docs.count(), support, thresholds), "told")
+    words = texts.select("id", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+    told = words.join(told, "term").join(holds.select("id", "level", "entity").hint("merge"), ["id", "level", "entity"]).groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
     told = told.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told"))
-    terms = ws.put(texts.join(told, "id").select("id", told_at(F.col("text"), F.col("told")).alias("terms")), "terms")
-    out = full.join(terms, "id", "left")
+    terms = ws.put(texts.join(told.hint("merge"), "id").select("id", told_at(F.col("text"), F.col("told")).alias("terms")), "terms")
+    out = full.join(terms.hint("merge"), "id", "left")
     clear = F.filter(F.coalesce(F.col("terms"), F.array().cast(terms.schema["terms"].dataType)), lambda t: ~F.exists(F.col("base"), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return out.select("doc_id", "id", "base", clear.alias("terms"))
 

@@ -43,7 +43,7 @@ EOS = 50256
 #: Fixed value: how the vocabulary's tokenizer cuts text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Runs of so much white space are cut off before PATTERN, which would try each of their places, sees them.
-LONG_BLANKS = re.compile("[\t-\r\x20\x85\xa0  -     　]{1024,}")
+LONG_BLANKS = re.compile("[%s]{1024,}" % "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 RANGED = ("file", "hdfs", "s3", "s3a", "gs")
 
 

@@ -1,8 +1,11 @@
 """Plain versions of the operators, to hold them against."""
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import regex
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 BLANK = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -118,6 +121,40 @@ def personal(text):
     return [f"{k}:{a}:{b}" for a, _, b, k in found]
 
 
+def entities(text):
+    """(level, entity) of a text's base spans."""
+    out = set()
+    for a, n, b in sorted((m.start(), n, m.end()) for n, (k, p, ok) in enumerate(KINDS) if k != "email" or "@" in text for m in p.finditer(text) if ok(m.group())):
+        v = text[a:b].lower()
+        digits = re.sub("[^0-9]", "", v)
+        value = v if n < 2 else digits
+        group = (v.rpartition("@")[2], ".".join(v.split(".")[:3]), digits[:6], digits[:4])[n]
+        out |= {(0, (n, value)), (1, (n, group)), (2, (n,))}
+    return out
+
+
+def clues(docs, support=2, threshold=0.9, prior=(0, 1, 1)):
+    """{term: disclosure} by text, from (doc_id, text)."""
+    terms, held = {}, {}
+    for t in {t or "" for _, t in docs}:
+        terms[t], held[t] = set(x.lower() for x in regex.findall(r"\p{L}{3,}", t)), entities(t)
+    copies = Counter(t or "" for _, t in docs)
+    n_term, n_entity, both, texts = Counter(), Counter(), Counter(), Counter()
+    for t, c in copies.items():
+        n_term.update({x: c for x in terms[t]})
+        n_entity.update({e: c for e in held[t]})
+        for e in held[t]:
+            both.update({(e, x): c for x in terms[t]})
+            texts.update((e, x) for x in terms[t])
+    n, told = len(docs), defaultdict(dict)
+    for (e, x), b in both.items():
+        if texts[e, x] >= support and n_entity[e] < n:
+            share = math.log(b * n / ((n_term[x] + prior[e[0]]) * n_entity[e])) / math.log(n / n_entity[e])
+            if share >= threshold:
+                told[e][x] = share
+    return {t: {x: max(told[e][x] for e in held[t] if x in told[e]) for x in {x for e in held[t] for x in told[e]} & terms[t]} for t in copies}
+
+
 def template_lines(docs, lead=3, similar=0.7, min_docs=3, min_chars=20):
     """(doc_id, nth) of the lines to drop."""
     at = []

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import json
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
@@ -86,30 +87,70 @@ def pharma(spark: SparkSession, folder: Path, today: str) -> list[DataFrame]:
 LANES: dict[str, Lane] = {"fda": snapshots, "alfred": vintages, "hts": tariffs, "imf": mirrors, "gscpi": index, "pharma": pharma}
 
 
-def fetch(folder: Path, today: str, key: str | None) -> None:
-    """Fetches what has a live source into the folder of documents, and lands the bytes."""
-    got = {"shortages.json": live.fetch_snapshot(live.Client("openfda"), "shortages"), "recalls.json": live.fetch_snapshot(live.Client("openfda"), "recalls")}
-    if key:
-        got["vintages.json"] = live.fetch_vintages(live.Client("alfred", spacing=1.0), SERIES, key)
+#: What each lane reads, of which it lands what is there.
+DOCUMENTS = {
+    "fda": ("shortages.json", "recalls.json"),
+    "alfred": ("vintages.json",),
+    "hts": ("revisions.json",),
+    "imf": ("importer_cif.json", "exporter_fob.json", "importer_fob.json"),
+    "gscpi": ("index.parquet", "index.csv", "index.xlsx", "index.xls"),
+    "pharma": (),
+}
+# The keys of the bilateral reports.
+PAIR_KEYS = {"importer_cif.json": "CAN.MG_CIF_USD.CHN.A", "exporter_fob.json": "CHN.XG_FOB_USD.CAN.A", "importer_fob.json": "CAN.MG_FOB_USD.CHN.A"}
+
+
+def clients(**options) -> dict[str, live.Client]:
+    """One client for each live source, so that pacing and circuit hold across all its calls."""
+    return {name: live.Client(name, spacing=spacing, **options) for name, spacing in (("openfda", 0.6), ("alfred", 1.0), ("imf", 1.0), ("gscpi", 1.0))}
+
+
+def fetch(folder: Path, source: str = "all", key: str | None = None, by: dict[str, live.Client] | None = None) -> list[str]:
+    """Fetches what has a live source into the folder of documents; the names of what was fetched."""
+    by, got = by or clients(), {}
+    if source in ("all", "fda"):
+        got |= {f"{kind}.json": live.fetch_snapshot(by["openfda"], kind) for kind in ("shortages", "recalls")}
+    if source in ("all", "alfred") and (key or "").strip():
+        got["vintages.json"] = live.fetch_vintages(by["alfred"], SERIES, key)
+    if source in ("all", "imf"):
+        got |= {name: live.fetch_series(by["imf"], series) for name, series in PAIR_KEYS.items()}
+    if source in ("all", "gscpi"):
+        got["index.xlsx"] = live.fetch_index(by["gscpi"])
+    folder.mkdir(parents=True, exist_ok=True)
     for name, content in got.items():
-        land(folder / "landing", name.split(".")[0], name, content, today)
         (folder / name).write_bytes(content)
+    return list(got)
+
+
+def fetch_tariffs(folder: Path, revisions: list[dict], client: live.Client | None = None) -> None:
+    """Fetches these revisions (effective_from, label, and the name the archive has for them) and their index."""
+    client = client or live.Client("usitc_hts", spacing=1.0)
+    folder.mkdir(parents=True, exist_ok=True)
+    index = [{"effective_from": r["effective_from"], "label": r["label"], "file": f"{r['name']}.json"} for r in revisions]
+    for r, entry in zip(revisions, index):
+        (folder / entry["file"]).write_bytes(live.fetch_revision(client, r["name"]))
+    (folder / "revisions.json").write_text(json.dumps({"revisions": index}))
+
+
+def land_documents(folder: Path, landing: Path, lane: str, today: str) -> list[Path]:
+    """Lands the bytes of a lane's documents, as they were read."""
+    return [land(landing, lane, name, (folder / name).read_bytes(), today) for name in DOCUMENTS[lane] if (folder / name).exists()]
 
 
 def ingest(spark: SparkSession, documents: str | Path, out: str | Path, source: str = "all", today: str | None = None) -> dict[str, int]:
-    """Runs the lanes; gives the number of events each has appended to out/log."""
+    """Runs the lanes; gives the number of events each has appended to out/log.  What they read is in out/landing."""
     today = today or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d")
     log_path, counts = f"{out}/log", {}
     for name, lane in LANES.items():
         if source not in ("all", name):
             continue
+        land_documents(Path(documents), Path(out) / "landing", name, today)
         rows = lane(spark, Path(documents), today)
         if not rows:
             continue
         columns = ("event_type", "source", "entity_id", "event_time", "record_time", "payload")
         batch = reduce(DataFrame.unionAll, [r.select(*columns) for r in rows])
-        log = files.read_log(spark, log_path).drop("record_date")
-        fresh = append(log, batch).cache()
+        fresh = append(files.read_log(spark, log_path), batch, top=files.top_seq(spark, log_path)).cache()
         counts[name] = fresh.count()
         if counts[name]:
             files.write_log(fresh, log_path)
@@ -130,7 +171,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     spark = session()
     if a.live:
-        fetch(Path(a.documents), a.as_of or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d"), a.key)
+        fetch(Path(a.documents), a.source, a.key)
     print(ingest(spark, a.documents, a.out, a.source, a.as_of))
     if a.build:
         build = Build(files.read_log(spark, f"{a.out}/log"), a.as_of or FOREVER, f"{a.out}/models")

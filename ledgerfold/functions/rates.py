@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KINDS = ("free", "ad_valorem", "compound", "specific", "unparsed")
+# How a percentage is written, and what makes a rate one that needs a quantity.
 PERCENT = r"^\s*(\d+(?:\.\d+)?)\s*%\s*$"
-# Fixed value: what makes a rate one that needs a quantity.
 PER_UNIT = r"(?i)(cents?|¢|\$|/\s*(kg|kilo|liter|litre|doz|m2|unit))"
 
 
@@ -28,9 +28,10 @@ def parse_rate(raw: Column) -> Column:
 
 
 def landed_duty(value: Column, rate: Column, kind: Column, strict: bool = False) -> Column:
-    """value * rate; without a rate null, or (strict) an error: a duty that needs a quantity is never guessed."""
+    """value * rate in whole cents; without a rate null, or (strict) an error: a duty that needs a quantity is never
+    guessed.  Half a cent is rounded up, in decimals, so that engines agree."""
     refused = F.raise_error(F.concat(F.lit("no ad valorem duty from a rate of kind "), kind)).cast("double") if strict else F.lit(None).cast("double")
-    return F.when(rate.isNull(), refused).otherwise(value * rate)
+    return F.when(rate.isNull(), refused).otherwise(F.round(value.cast("decimal(18,4)") * rate.cast("decimal(12,6)"), 2).cast("double"))
 
 
 def duty_status(rate: Column) -> Column:

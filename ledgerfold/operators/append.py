@@ -15,18 +15,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.envelope import COLUMNS, REPLAY_KEY, InvalidEvents, validated, with_defaults
-from ledgerfold.operators.folds import visible
+from ledgerfold.operators.folds import rescinded
+from ledgerfold.storage import Workspace
 
 
-def sequenced(events: DataFrame, base: int, order: tuple[str, ...] = ("entity_id", "event_type", "payload_hash")) -> DataFrame:
+ORDER = ("entity_id", "event_type", "payload_hash", "event_time")
+
+
+def sequenced(events: DataFrame, base: int, order: tuple[str, ...] = ORDER) -> DataFrame:
     """events with seq = base, base + 1, ... by record_time and order.
 
-    Numbers come from the counts of each record_time and a window within it, so no single task sorts the batch.
+    The events are dealt out by range of (record_time, order), so that any one moment is as many tasks as it needs, and
+    written so, each with its place in its task; a task's first number is the sum of the counts of those before it.
     """
-    counts = events.groupBy("record_time").agg(F.count("*").alias("__n"))
-    first = counts.select("record_time", (F.sum("__n").over(Window.orderBy("record_time")) - F.col("__n")).alias("__first"))
-    nth = F.row_number().over(Window.partitionBy("record_time").orderBy(*order))
-    return events.join(first, "record_time").withColumn("seq", (F.lit(base - 1) + F.col("__first") + nth).cast("long")).drop("__first")
+    ws, order = Workspace(events.sparkSession, "sequenced"), ("record_time", *order)
+    events = events.drop("seq")
+    placed = events.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__task": F.spark_partition_id(), "__nth": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    placed = ws.put(placed, "placed")
+    counts = placed.groupBy("__task").agg(F.count("*").alias("__n"))
+    # one row a task of the write above
+    first = counts.select("__task", (F.sum("__n").over(Window.orderBy("__task")) - F.col("__n")).alias("__first"))
+    return placed.join(F.broadcast(first), "__task").withColumn("seq", F.lit(base) + F.col("__first") + F.col("__nth")).drop("__task", "__nth", "__first")
+
+
+def between(log: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """The part of the log that was recorded on these days, by its partitions where it has any."""
+    if "record_date" not in log.columns or first is None or last is None:
+        return log
+    return log.where(F.col("record_date").between(first[:10], last[:10]))
 
 
 def not_replayed(batch: DataFrame, log: DataFrame) -> DataFrame:
@@ -35,12 +51,14 @@ def not_replayed(batch: DataFrame, log: DataFrame) -> DataFrame:
     return batch.dropDuplicates(list(REPLAY_KEY)).join(known, list(REPLAY_KEY), "left_anti")
 
 
-def changes(batch: DataFrame, log: DataFrame, mode: str = "record") -> DataFrame:
-    """The batch's observations whose payload differs from the one before them."""
+def changes(batch: DataFrame, log: DataFrame, mode: str = "record", last: str | None = None) -> DataFrame:
+    """The batch's observations whose payload differs from the one before them.  last: the batch's last moment, if known;
+    in mode "record" no observation of a later day is read."""
     if mode not in ("record", "arrival"):
         raise ValueError(f"mode is record or arrival, not {mode}")
     touched = batch.select("entity_id").distinct()
-    known = visible(log).join(touched, "entity_id", "left_semi").select("entity_id", "event_type", "event_time", "record_time", "payload_hash", "seq", F.lit(0).alias("__new"))
+    told = between(log, "0000-00-00", last) if mode == "record" else log
+    known = told.where(~F.col("is_error_declaration")).join(rescinded(log), "event_id", "left_anti").join(touched, "entity_id", "left_semi").select("entity_id", "event_type", "event_time", "record_time", "payload_hash", "seq", F.lit(0).alias("__new"))
     fresh = batch.withColumn("__new", F.lit(1))
     both = fresh.unionByName(known, allowMissingColumns=True)
     clock = ["record_time", "__new"] if mode == "record" else ["__new", F.when(F.col("__new") == 1, F.col("record_time")), ]
@@ -51,14 +69,21 @@ def changes(batch: DataFrame, log: DataFrame, mode: str = "record") -> DataFrame
     return out.drop("__new", "__before", *([] if "seq" in batch.columns else ["seq"]))
 
 
-def append(log: DataFrame, batch: DataFrame, mode: str = "record") -> DataFrame:
+def append(log: DataFrame, batch: DataFrame, mode: str = "record", top: int | None = None) -> DataFrame:
     """The envelope rows that batch adds to log.
 
     batch: event_type, source, entity_id, event_time, record_time, payload, and event_id if it has its own.
+    top: the log's highest seq, if it is known (-1: the log is empty); else the log is asked.
+
+    Of a log that is partitioned by record_date, replay keys are read for the batch's days only, and in mode "record"
+    nothing is read that was recorded after the batch's last day.
     """
     ready = with_defaults(validated(batch))
-    fresh = changes(not_replayed(ready, log), log, mode)
-    top = log.agg(F.max("seq")).first()[0]
+    days = batch.agg(F.min("record_time"), F.max("record_time")).first() if "record_date" in log.columns else (None, None)
+    fresh = not_replayed(ready, between(log, *days))
+    fresh = changes(fresh, log, mode, days[1])
+    if top is None:
+        top = log.agg(F.max("seq")).first()[0]
     return sequenced(fresh, 0 if top is None else top + 1).select(*COLUMNS)
 
 

@@ -40,6 +40,13 @@ def last_revision(revisions: DataFrame, on: str, as_of: str) -> DataFrame:
     return revisions.join(F.broadcast(last), revisions["effective_from"] == last["__last"]).drop("__last").select(on, *[c for c in revisions.columns if c != on])  # one row
 
 
+def with_label(rows: DataFrame, revisions: DataFrame, time: str, label: str = "label") -> DataFrame:
+    """rows with the label of the revision that took effect at their time, null where none did; revisions: effective_from,
+    label.  The label is no part of what is observed, and this gets it back."""
+    named = revisions.select(F.col("effective_from").alias("__from"), F.col("label").alias(label)).dropDuplicates(["__from"])
+    return rows.join(named, rows[time] == named["__from"], "left").drop("__from")
+
+
 def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one that the other lacks, with side "left" or "right"; copies count."""
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionAll(b.exceptAll(a).withColumn("side", F.lit("right")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from ledgerfold.operators import capture, custody, folds, joins
 from ledgerfold.plans import marts, quality
 from ledgerfold.plans.derived import DECLARED, LOG_SQL, MIRROR_SQL, TARIFF_SQL, VINTAGE_DAYS, VINTAGE_SQL, event_log, fold_sql, iso, mirror_reports, observations, table, tariff_lines, vintage_matrix
 from ledgerfold.sources import files
+from ledgerfold.storage import Workspace
 from ledgerfold.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,7 +120,7 @@ UNION ALL SELECT 'source_accepted', count(*) FROM f WHERE source NOT IN ('web',
 UNION ALL SELECT 'event_id_reuse', count(*) FROM (SELECT event_id FROM f GROUP BY event_id HAVING count(*) > 2 OR (count(*) = 2 AND count_if(is_error_declaration) = 0))""",
 )
 def quality_unique_not_null(spark, d):
-    return quality.summary(quality.log_checks(flawed_log(spark, d), ["web", "ops"]))
+    return quality.log_summary(flawed_log(spark, d), ["web", "ops"])
 
 
 @query("quality_accepted_values", f"WITH {FLAWED_SQL} SELECT seq, source FROM f WHERE source NOT IN ('web', 'ops')")
@@ -297,7 +296,7 @@ def shipments(spark, d) -> DataFrame:
 
 
 _SHIPMENTS = "shipments AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_partkey::VARCHAR AS code, strftime(l_shipdate + INTERVAL 27 YEAR, '%Y-%m-%d') AS shipped FROM lineitem)"
-_PRICED = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, shipped, rate, kind, CASE WHEN rate IS NULL THEN 'needs_quantity' ELSE 'computed' END AS duty_status, l_extendedprice * rate AS duty FROM shipments s ASOF LEFT JOIN changed c ON s.code = c.code AND s.shipped >= c.effective_from"
+_PRICED = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, shipped, rate, kind, CASE WHEN rate IS NULL THEN 'needs_quantity' ELSE 'computed' END AS duty_status, round(l_extendedprice::DECIMAL(18, 4) * rate::DECIMAL(12, 6), 2)::DOUBLE AS duty FROM shipments s ASOF LEFT JOIN changed c ON s.code = c.code AND s.shipped >= c.effective_from"
 
 
 def priced(rows: DataFrame) -> DataFrame:
@@ -340,12 +339,6 @@ def tolerance_flag(spark, d):
     return capture.reconcile(*mirror_reports(spark, d)).select("pair", "year", "within_tolerance")
 
 
-@query("reconciliation_ranked", f"WITH {MIRROR_SQL} SELECT pair, year, gap, residual, 100.0::DOUBLE * residual / nullif(gap, 0) AS residual_share_pct FROM mirror WHERE residual IS NOT NULL ORDER BY abs(residual) DESC, pair, year LIMIT 50")
-def reconciliation_ranked(spark, d):
-    r = capture.reconcile(*mirror_reports(spark, d)).where(F.col("residual").isNotNull())
-    return r.orderBy(F.abs("residual").desc(), "pair", "year").limit(50).select("pair", "year", "gap", "residual", (100.0 * F.col("residual") / F.nullif(F.col("gap"), F.lit(0.0))).alias("residual_share_pct"))
-
-
 def asymmetry(spark, d) -> DataFrame:
     """Through the log: observations, fold, typed mart."""
     rows = capture.mirror_observations(capture.reconcile(*mirror_reports(spark, d)), "2024-06-01")
@@ -424,11 +417,7 @@ def _stream(spark, d) -> DataFrame:
 
 
 def _run(df: DataFrame, mode: str) -> DataFrame:
-    from ledgerfold.envelope import COLUMNS as _  # noqa: F401
-
-    name = f"q{uuid.uuid4().hex}"
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="ledgerfold-stream-")
-    return incremental.run_to_table(df, name, mode, f"{root.rstrip('/')}/{name}")
+    return incremental.run_to_table(df, mode, Workspace(df.sparkSession, "stream").root)
 
 
 @query("stream_current_state", f"WITH {LOG_SQL} SELECT entity_id, event_id, event_type, payload, record_time, seq, is_error_declaration FROM e WHERE NOT is_error_declaration QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY record_time DESC, seq DESC) = 1")
@@ -458,23 +447,14 @@ def stream_daily_counts(spark, d):
 
 # ---- documents of sources ----
 
-_SDMX = '{"data":{"dataSets":[{"series":{"0:0":{"attributes":[],"observations":{"0":["51582752181",null],"1":["53807135798"],"2":[null]}}}}],"structures":[{"dimensions":{"series":[],"observation":[{"id":"TIME_PERIOD","values":[{"value":"2011"},{"value":"2012"},{"value":"2013"}]}]}}]}}'
+_SDMX = '{"data":{"dataSets":[{"series":{"0:0":{"attributes":[],"observations":{"0":["640",null],"1":["1200.25"],"2":[null]}}}}],"structures":[{"dimensions":{"series":[],"observation":[{"id":"TIME_PERIOD","values":[{"value":"2020"},{"value":"2021"},{"value":"2022"}]}]}}]}}'
 
 
-@query("sdmx_parse", "SELECT * FROM (VALUES ('2011', 51582752181.0::DOUBLE), ('2012', 53807135798.0::DOUBLE)) t(period, value)")
+@query("sdmx_parse", "SELECT * FROM (VALUES ('2020', 640.0::DOUBLE), ('2021', 1200.25::DOUBLE)) t(period, value)")
 def sdmx_parse(spark, d):
     return files.parse_sdmx(spark.createDataFrame([(_SDMX,)], "value string"))
 
 
-_SHORTAGES = [("0", "Cisplatin", "Avaliable", "07/20/2026"), ("1", "Morphine", "Available", "2026-07-01"), ("2", None, "Unvailable", "01/02/2025")]
-
-
-@query("fda_json_scan", "SELECT * FROM (VALUES ('Cisplatin', 'Available', '2026-07-20', 'enum:availability:Avaliable->Available|date:update_date:MM/DD/YYYY->ISO'), ('Morphine', 'Available', '2026-07-01', NULL), (NULL, 'Unavailable', '2025-01-02', 'enum:availability:Unvailable->Unavailable|date:update_date:MM/DD/YYYY->ISO')) t(generic_name, availability, update_date, notes)")
-def fda_json_scan(spark, d):
-    rows = spark.createDataFrame(_SHORTAGES, "position string, generic_name string, availability string, update_date string")
-    return normalize.normalize_records(rows.drop("position"), mdy=("update_date",)).select("generic_name", "availability", "update_date", F.array_join("_normalizations", "|").alias("notes"))
-
-
 @query("index_series_parse", "SELECT * FROM (VALUES ('1998-01-01', 0.5::DOUBLE), ('1998-02-01', -1.25::DOUBLE)) t(period, value)")
 def index_series_parse(spark, d):
     return files.index_series(spark.createDataFrame([("1998-01-31", "0.5"), ("1998-02-28", "-1.25"), ("not a date", "3"), ("1998-03-31", None)], "a string, b string"))

@@ -77,4 +77,4 @@ class Build:
     def violations(self) -> DataFrame:
         """check, violations of every assertion about the log and its models."""
         tables = self.run("current_state", "history", "duty_rate_current", "duty_rate_as_of", "trade_asymmetry")
-        return quality.summary(quality.log_checks(self.get("stg_events")) | quality.model_checks(tables))
+        return quality.log_summary(self.get("stg_events")).unionAll(quality.summary(quality.model_checks(tables)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.sources.registry import SOURCES
@@ -53,6 +53,19 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, each)
 
 
+def counted(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """check, violations of conditions on single rows: one pass over the table for all of them."""
+    one = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks.values())])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(checks)])).alias("c")).select("c.*")
+
+
+def log_summary(log: DataFrame, sources: list[str] | None = None) -> DataFrame:
+    """check, violations of log_checks: those on single rows in one pass, those on keys in one each."""
+    each, names = log_checks(log, sources), sources or [s[0] for s in SOURCES]
+    rows = {f"{c}_not_null": F.col(c).isNull() for c in ("seq", "entity_id", "record_time", "source")} | {"source_accepted": ~F.col("source").isin(names)}
+    return counted(log, rows).unionAll(summary({n: each[n] for n in each if n not in rows}))
+
+
 def log_checks(log: DataFrame, sources: list[str] | None = None) -> dict[str, DataFrame]:
     names = sources or [s[0] for s in SOURCES]
     return {

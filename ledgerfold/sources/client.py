@@ -34,7 +34,7 @@ class Client:
         return self.failed_calls >= self.threshold
 
     def get(self, url: str) -> bytes:
-        kept = self.cache / f"{self.source}_{hashlib.sha256(url.encode()).hexdigest()[:20]}" if self.cache else None
+        kept = self.cache / self.source / f"{hashlib.sha256(url.encode()).hexdigest()}.body" if self.cache else None
         if kept and kept.exists():
             return kept.read_bytes()
         if self.is_open:
@@ -92,6 +92,8 @@ VINTAGES_URL = "https://api.stlouisfed.org/fred/series/observations"
 SHORTAGES_URL = "https://api.fda.gov/drug/shortages.json?limit=1000"
 RECALLS_URL = "https://api.fda.gov/drug/enforcement.json?limit=1000"
 TARIFF_URL = "https://hts.usitc.gov/reststop/exportList"
+SERIES_URL = "https://api.imf.org/external/sdmx/3.0/data/dataflow/IMF.STA/IMTS/+"
+INDEX_URL = "https://www.newyorkfed.org/medialibrary/research/interactives/gscpi/downloads/gscpi_data.xlsx"
 
 
 def fetch_vintages(client: Client, series: str, key: str | None, since: str = "2013-01-01") -> bytes:
@@ -107,9 +109,10 @@ def fetch_revision(client: Client, revision: str, form: str = "JSON") -> bytes:
     return client.get(f"{TARIFF_URL}?{urlencode({'from': '0100', 'to': '9999', 'format': form, 'styles': 'false', 'revision': revision})}")
 
 
-def fetch_binary(client: Client, url: str) -> bytes:
-    return client.get(url)
+def fetch_index(client: Client) -> bytes:
+    return client.get(INDEX_URL)
 
 
-def fetch_series(client: Client, base: str, key: str, last_n: int = 15) -> bytes:
-    return client.get(f"{base}/{key}?lastNObservations={last_n}")
+def fetch_series(client: Client, key: str, last_n: int = 15) -> bytes:
+    """One series of the bilateral reports; its dimensions are country, indicator, counterpart, frequency."""
+    return client.get(f"{SERIES_URL}/{key}?{urlencode({'lastNObservations': last_n})}")

@@ -46,19 +46,28 @@ def deduplicated(events: DataFrame, clock: str = "ts", within: str = "2 days") -
 def append_to_log(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Appends each micro-batch to the log once: what a failed attempt has written of it already is not written again."""
     from ledgerfold.operators.append import append
-    from ledgerfold.sources.files import read_log, write_log
+    from ledgerfold.sources.files import read_log, top_seq, write_log
 
     def write(batch: DataFrame, _: int) -> None:
-        write_log(append(read_log(batch.sparkSession, path).drop("record_date"), batch), path)
+        write_log(append(read_log(batch.sparkSession, path), batch, top=top_seq(batch.sparkSession, path)), path)
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Runs a query over all input there is and returns its memory table."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_table(df: DataFrame, mode: str, root: str) -> DataFrame:
+    """Runs a query over all input there is and returns the table it wrote: in mode "append" all micro-batches, else the
+    last one's state.  A micro-batch that is run again overwrites what it had written."""
+    spark, done = df.sparkSession, []
+
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/table/batch={n}")
+        done.append(n)
+
+    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
-    return df.sparkSession.table(name)
+    if not done:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(*[f"{root}/table/batch={n}" for n in (sorted(set(done)) if mode == "append" else done[-1:])])

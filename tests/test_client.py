@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from ledgerfold import cli
 from ledgerfold.sources.client import CircuitOpen, Client, Malformed, checked_key, fetch_vintages, paginate
 
 
@@ -74,3 +75,29 @@ def test_keys_are_never_told():
         checked_key(" ")
     c, _ = client(lambda u: u.encode())
     assert b"api_key=" + b"a" * 32 in fetch_vintages(c, "S", " " + "a" * 32 + "\n")
+
+
+def test_live_documents_by_one_client_a_source(tmp_path):
+    asked, slept = [], []
+
+    def transport(url):
+        asked.append(url)
+        return url.encode()
+
+    by = cli.clients(transport=transport, sleep=slept.append, clock=lambda: 0.0, cache=tmp_path / "cache")
+    got = cli.fetch(tmp_path / "docs", "all", "b" * 32, by)
+    assert sorted(got) == sorted(["shortages.json", "recalls.json", "vintages.json", *cli.PAIR_KEYS, "index.xlsx"])
+    assert all((tmp_path / "docs" / n).read_bytes().decode() in asked for n in got)
+    assert len([u for u in asked if "/IMTS/+/" in u and u.endswith("lastNObservations=15")]) == 3
+    assert slept == [0.6, 1.0, 1.0] and by["openfda"].requests == 2 and by["imf"].requests == 3
+    assert cli.fetch(tmp_path / "docs", "alfred", " ", by) == [] and cli.fetch(tmp_path / "docs", "gscpi", None, by) == ["index.xlsx"]
+    assert by["gscpi"].requests == 1  # the second answer is the cache's
+    landed = [cli.land_documents(tmp_path / "docs", tmp_path / "landing", lane, "2031-02-03") for lane in cli.DOCUMENTS]
+    assert sum(map(len, landed)) == len(got) and cli.land_documents(tmp_path / "docs", tmp_path / "landing", "imf", "2031-02-03") == landed[3]
+
+
+def test_live_tariffs(tmp_path):
+    c, slept = client(lambda u: json.dumps([{"htsno": "1", "general": "Free", "description": u}]).encode(), spacing=1.0)
+    cli.fetch_tariffs(tmp_path, [{"effective_from": "2030-01-01", "label": "one", "name": "r1"}, {"effective_from": "2030-02-01", "label": "two", "name": "r2"}], c)
+    assert slept == [1.0] and [r["file"] for r in json.loads((tmp_path / "revisions.json").read_text())["revisions"]] == ["r1.json", "r2.json"]
+    assert "revision=r2" in (tmp_path / "r2.json").read_text()

@@ -13,28 +13,35 @@ from ledgerfold.plans.models import MODELS, Build
 from ledgerfold.sources import files
 from ledgerfold.sources.landing import land, landed, tampered
 
-VINTAGES = {
-    "observations": [
-        {"date": "2025-09-01", "MNFCTRIRSA_20251114": "1.46", "MNFCTRIRSA_20251215": "1.46", "MNFCTRIRSA_20260116": "1.46"},
-        {"date": "2025-10-01", "MNFCTRIRSA_20251114": "1.47", "MNFCTRIRSA_20251215": "1.48", "MNFCTRIRSA_20260116": "1.48"},
-        {"date": "2025-08-01", "MNFCTRIRSA_20251114": "1.45", "MNFCTRIRSA_20251215": "1.45", "MNFCTRIRSA_20260116": "1.45"},
-        {"date": "2025-07-01", "MNFCTRIRSA_20251114": "1.44", "MNFCTRIRSA_20251215": "1.44", "MNFCTRIRSA_20260116": "1.44"},
-        {"date": "2025-11-01", "MNFCTRIRSA_20251114": ".", "MNFCTRIRSA_20251215": "1.49", "MNFCTRIRSA_20260116": "1.47"},
-        {"date": "2025-12-01", "MNFCTRIRSA_20260116": "1.50"},
-    ]
+SERIES = "MNFCTRIRSA"
+
+
+def vintage_matrix(days, believed):
+    """believed: for each observation date what each vintage said of it, None where that vintage has no such cell."""
+    cell = lambda d: f"{SERIES}_{d.replace('-', '')}"
+    return {"observations": [{"date": at} | {cell(d): v for d, v in zip(days, said) if v is not None} for at, said in believed.items()]}
+
+
+VINTAGE_DAYS = ("2031-04-10", "2031-05-12", "2031-06-09")
+BELIEVED = {
+    "2031-01-01": ("7.10", "7.10", "7.25"),  # revised late
+    "2031-02-01": (".", "7.02", "7.02"),  # not known at first
+    "2031-03-01": (None, "6.90", "6.95"),
+    "2031-04-01": (None, None, "6.80"),
+    "2031-05-01": ("", ".", None),  # never known
 }
+VINTAGES = vintage_matrix(VINTAGE_DAYS, BELIEVED)
 CODES = {
-    "3303.00.30.00": ("Free", "Free", "Free"),
-    "3304.99.50.00": ("Free", "Free", "4.9%"),
-    "8507.60.00.20": ("3.4%", "7.5%", "7.5%"),
-    "4202.21.60.00": ("10%", "12%", "12%"),
-    "6404.11.90.20": ("20%", "20%", "20%"),
-    "0402.10.50.00": ("3.3 cents/kg", "3.3 cents/kg", "3.3 cents/kg"),
-    "6104.43.20.10": ("16% + 2.5 cents/kg",) * 3,
+    "0101.10.00.00": ("Free",) * 3,
+    "0202.20.30.10": ("Free", "2.75%", "2.75%"),
+    "5555.55.00.05": ("6%", "6%", " 8 % "),
+    "6161.70.40.00": ("12.5%", "13%", "12.5%"),
+    "7000.00.11.22": ("45 cents/doz",) * 3,
+    "8181.90.90.90": ("1% + 9 cents/kg",) * 3,
 }
-DATES = ("2024-05-15", "2025-07-01", "2026-03-20")
-CIF = {"2011": "51582752181", "2012": "53807135798", "2013": None}
-FOB = {"2011": "25249130127", "2012": "28106991424", "2014": "1"}
+DATES = ("2030-02-01", "2031-02-01", "2032-02-01")
+CIF = {"2020": "900", "2021": "1250.5", "2022": None}
+FOB = {"2020": "640", "2021": "1200.25", "2023": "17"}
 
 
 def sdmx(values):
@@ -54,35 +61,35 @@ def documents(tmp_path):
         put(f"rev{i}.json", lines + [{"htsno": f" {c} ", "indent": "1", "description": f"goods {c}", "general": r[i], "units": ["No."], "footnotes": []} for c, r in CODES.items()])
     put("importer_cif.json", sdmx(CIF))
     put("exporter_fob.json", sdmx(FOB))
-    put("importer_fob.json", sdmx({"2011": "48662973754"}))
-    put("shortages.json", {"meta": {}, "results": [{"generic_name": "A", "company_name": "X", "presentation": "p", "package_ndc": "1", "status": "Current", "availability": "Avaliable", "update_date": "07/20/2026"}, {"generic_name": "B", "company_name": None, "presentation": "p", "package_ndc": "2", "status": "Current", "availability": "Limited", "update_date": ""}]})
-    put("recalls.json", {"meta": {}, "results": [{"recall_number": "D-0", "status": "On-Going", "report_date": "20260701", "product_description": "q", "openfda": {}}, {"recall_number": "D-1", "status": "Terminated", "report_date": "20260702", "product_description": "d" * 200, "openfda": {"product_ndc": ["0555-0775", "0555-0971", "0555-0972", "4"]}}]})
-    (d / "index.csv").write_text("when,what\n1998-01-31,0.5\n1998-02-28,-1.25\nnever,3\n1998-03-31,\n")
+    put("importer_fob.json", sdmx({"2020": "820"}))
+    put("shortages.json", {"meta": {}, "results": [{"generic_name": "Quietol", "company_name": "Mill & Son", "presentation": "drops", "package_ndc": "71", "status": "Current", "availability": "Avaliable", "update_date": "03/05/2031"}, {"generic_name": "Noisol", "company_name": None, "presentation": "drops", "package_ndc": "72", "status": "Current", "availability": "Limited", "update_date": ""}]})
+    put("recalls.json", {"meta": {}, "results": [{"recall_number": "R-500", "status": "On-Going", "report_date": "20310301", "product_description": "unnamed goods", "openfda": {}}, {"recall_number": "R-501", "status": "Terminated", "reason_for_recall": "wrong label", "report_date": "20310302", "product_description": "e" * 120, "openfda": {"product_ndc": ["90-1", "90-2", "90-3", "90-4"]}}]})
+    (d / "index.csv").write_text("when,what\n2029-01-31,0.75\n2029-02-28,-2.5\nnever,3\n2029-03-31,\n")
     return d
 
 
 def test_from_documents_to_models_and_again(spark, documents, tmp_path):
     out = tmp_path / "out"
-    first = cli.ingest(spark, documents, out, today="2026-08-01")
-    assert first == {"fda": 4, "alfred": 8, "hts": 10, "imf": 2, "gscpi": 2, "pharma": 54}
-    assert not any(cli.ingest(spark, documents, out, today="2026-08-01").values())
+    first = cli.ingest(spark, documents, out, today="2031-07-01")
+    assert first == {"fda": 4, "alfred": 6, "hts": 10, "imf": 2, "gscpi": 2, "pharma": 54}
+    assert not any(cli.ingest(spark, documents, out, today="2031-07-01").values())
     log = files.read_log(spark, f"{out}/log")
-    assert sorted(r["seq"] for r in log.select("seq").collect()) == list(range(80))
+    assert sorted(r["seq"] for r in log.select("seq").collect()) == list(range(78))
     # a field that changes is one event
     recalls = json.loads((documents / "recalls.json").read_text())
-    recalls["results"][0]["termination_date"] = "20260724"
+    recalls["results"][0]["termination_date"] = "20310624"
     recalls["results"][1]["termination_date"] = None
     (documents / "recalls.json").write_text(json.dumps(recalls))
-    assert cli.ingest(spark, documents, out, "fda", "2026-08-02") == {"fda": 1}
-    build = Build(files.read_log(spark, f"{out}/log"), "2026-08-01")
+    assert cli.ingest(spark, documents, out, "fda", "2031-07-02") == {"fda": 1}
+    build = Build(files.read_log(spark, f"{out}/log"), "2031-07-01")
     made = build.run()
     assert set(made) == set(MODELS)
     assert {r["check"]: r["violations"] for r in build.violations().collect() if r["violations"]} == {}
-    assert made["fda_shortage_current"].where("entity_id like 'shortage:%' and availability = 'Available' and update_date = '2026-07-20'").count() == 1
-    assert [(r["period"], r["gscpi"]) for r in made["gscpi_series"].collect()] == [("1998-01-01", 0.5), ("1998-02-01", -1.25)]
+    assert made["fda_shortage_current"].where("entity_id like 'shortage:%' and availability = 'Available' and update_date = '2031-03-05'").count() == 1
+    assert [(r["period"], r["gscpi"]) for r in made["gscpi_series"].collect()] == [("2029-01-01", 0.75), ("2029-02-01", -2.5)]
     report = made["reconciliation_report"].collect()
-    assert report[0]["year"] == "2011" and report[0]["residual_usd"] == 23413843627 and report[0]["residual_share_pct"] == 88.9
-    assert {(r["source"], r["events"]) for r in made["source_event_counts"].collect()} >= {("alfred", 8), ("usitc_hts", 10)}
+    assert report[0]["year"] == "2020" and report[0]["residual_usd"] == 180 and report[0]["residual_share_pct"] == 69.2
+    assert {(r["source"], r["events"]) for r in made["source_event_counts"].collect()} >= {("alfred", 6), ("usitc_hts", 10)}
     assert made["lot_current_location"].count() == 9 and made["chain_of_custody"].count() == 54
     assert build.get("current_state") is made["current_state"]
 
@@ -91,8 +98,8 @@ def test_vintage_folds_equal_the_columns(spark, documents):
     matrix = files.read_vintages(spark, str(documents / "vintages.json"))
     rows = capture.vintage_replay(matrix, "MNFCTRIRSA")
     log = rows.withColumns({"event_id": F.concat("entity_id", "record_time"), "is_error_declaration": F.lit(False), "seq": F.lit(0).cast("long")})
-    assert rows.count() == 8
-    for v, n in (("2025-11-14", 4), ("2025-12-15", 5), ("2026-01-16", 6)):
+    assert rows.count() == 6
+    for v, n in zip(VINTAGE_DAYS, (1, 3, 4)):
         folded = folds.fold_state(log, v).select(F.col("event_time").alias("observation_date"), folds.field("value").alias("value"))
         answer = capture.vintage_answer(matrix, "MNFCTRIRSA", v)
         assert answer.count() == n and joins.differences(folded, answer).count() == 0
@@ -104,24 +111,24 @@ def test_tariffs_equal_the_revision_in_force(spark, documents):
     lines = files.read_revisions(spark, str(documents / "revisions.json"), str(documents))
     log = capture.revision_replay(lines).withColumns({"event_id": F.concat("entity_id", "record_time"), "is_error_declaration": F.lit(False), "seq": F.lit(0).cast("long")}).cache()
     assert log.count() == 10
-    for day in ("2024-05-14", "2024-05-15", "2025-06-30", "2025-07-01", "2026-03-20", "2030-01-01"):
+    for day in ("2030-01-31", "2030-02-01", "2031-01-31", "2031-02-01", "2032-02-01", "2040-01-01"):
         mart = marts.duty_rates(log, day).select(F.col("hts_code").alias("code"), "general_rate_raw")
         in_force = capture.rated_lines(joins.last_revision(lines, "code", day)).select("code", "general_rate_raw")
         assert joins.differences(mart, in_force).count() == 0, day
     assert quality.rate_without_kind(marts.duty_rates(log)).count() == 0
     # no price changes after the fact
-    goods = spark.createDataFrame([(1000.0, "HTS:8507.60.00.20", "2024-06-01"), (1000.0, "HTS:8507.60.00.20", "2026-09-01"), (1.0, "HTS:0402.10.50.00", "2026-09-01"), (1.0, "HTS:none", "2026-09-01")], "value double, entity_id string, day string")
+    goods = spark.createDataFrame([(200.02, "HTS:6161.70.40.00", "2030-06-01"), (200.02, "HTS:6161.70.40.00", "2031-09-01"), (1.0, "HTS:7000.00.11.22", "2032-09-01"), (1.0, "HTS:none", "2032-09-01")], "value double, entity_id string, day string")
     versions = log.select("entity_id", "record_time", folds.field("ad_valorem_rate", "double").alias("rate"), folds.field("rate_kind").alias("kind"))
     priced = joins.as_of_join(goods, versions, ["entity_id"], "day", "record_time", ["rate", "kind"])
-    duty = {(r["entity_id"], r["day"]): r["d"] for r in priced.select("entity_id", "day", F.round(rates.landed_duty(F.col("value"), F.col("rate"), F.col("kind")), 2).alias("d")).collect()}
-    assert duty == {("HTS:8507.60.00.20", "2024-06-01"): 34.0, ("HTS:8507.60.00.20", "2026-09-01"): 75.0, ("HTS:0402.10.50.00", "2026-09-01"): None, ("HTS:none", "2026-09-01"): None}
+    duty = {(r["entity_id"], r["day"]): r["d"] for r in priced.select("entity_id", "day", rates.landed_duty(F.col("value"), F.col("rate"), F.col("kind")).alias("d")).collect()}
+    assert duty == {("HTS:6161.70.40.00", "2030-06-01"): 25.0, ("HTS:6161.70.40.00", "2031-09-01"): 26.0, ("HTS:7000.00.11.22", "2032-09-01"): None, ("HTS:none", "2032-09-01"): None}
     with pytest.raises(Exception, match="no ad valorem duty"):
         priced.where("kind = 'specific'").select(rates.landed_duty(F.col("value"), F.col("rate"), F.col("kind"), strict=True)).collect()
 
 
 @pytest.mark.parametrize(
     "raw, want",
-    [("Free", (0.0, "free")), (" free ", (0.0, "free")), ("3.4%", (0.034, "ad_valorem")), (" 10 % ", (0.1, "ad_valorem")), ("16% + 2.5 cents/kg", (None, "compound")), ("3.3 cents/kg", (None, "specific")), ("$1.50 each", (None, "specific")), ("5/ KG", (None, "specific")), ("see note", (None, "unparsed")), ("", (None, "unparsed")), (None, (None, "unparsed")), ("Free (A)", (None, "unparsed"))],
+    [("Free", (0.0, "free")), (" free ", (0.0, "free")), ("2.75%", (0.0275, "ad_valorem")), (" 10 % ", (0.1, "ad_valorem")), ("4% + 11 cents/kg", (None, "compound")), ("45 cents/doz", (None, "specific")), ("$1.50 each", (None, "specific")), ("5/ KG", (None, "specific")), ("see note", (None, "unparsed")), ("", (None, "unparsed")), (None, (None, "unparsed")), ("Free (A)", (None, "unparsed"))],
 )
 def test_rates(spark, raw, want):
     r = spark.createDataFrame([(raw,)], "raw string").select(rates.parse_rate(F.col("raw")).alias("r")).first()["r"]
@@ -143,11 +150,11 @@ def test_an_empty_cube_is_an_error(spark):
 
 
 def test_normalization_and_its_notes(spark):
-    rows = spark.createDataFrame([("On-Going", "20151125", "07/20/2026", "13/45/2026"), ("Ongoing", "2015112", None, "x")], "status string, a string, b string, c string")
+    rows = spark.createDataFrame([("On-Going", "20310809", "02/03/2031", "13/45/2031"), ("Ongoing", "2031080", None, "x")], "status string, a string, b string, c string")
     one, two = normalize.normalize_records(rows, ymd=("a", "missing"), mdy=("b", "c")).collect()
-    assert (one["status"], one["a"], one["b"], one["c"]) == ("Ongoing", "2015-11-25", "2026-07-20", "2026-13-45")
+    assert (one["status"], one["a"], one["b"], one["c"]) == ("Ongoing", "2031-08-09", "2031-02-03", "2031-13-45")
     assert one["_normalizations"] == ["enum:status:On-Going->Ongoing", "date:a:YYYYMMDD->ISO", "date:b:MM/DD/YYYY->ISO", "date:c:MM/DD/YYYY->ISO"]
-    assert two["_normalizations"] is None and two["a"] == "2015112"
+    assert two["_normalizations"] is None and two["a"] == "2031080"
 
 
 def test_snapshots(spark):
@@ -157,32 +164,34 @@ def test_snapshots(spark):
 
 
 def test_drill_shows_belief_and_fact(spark):
-    rows = custody.movements(spark, ["0555-0775", "0555-0971", "0555-0972"], "2026-07-30")
+    codes = ["90-1", "90-2", "90-3"]
+    rows = custody.movements(spark, codes, "2031-05-06")
     log = rows.withColumns({"source": F.lit(marts.PHARMA), "event_id": F.concat("entity_id", "event_time"), "is_error_declaration": F.lit(False), "seq": F.row_number().over(__import__("pyspark").sql.Window.orderBy("entity_id", "event_time")).cast("long"), "payload_hash": F.sha2("payload", 256)}).cache()
     assert log.count() == 54 and log.where("record_time > event_time").count() == 3
-    codes = ["0555-0775", "0555-0971", "0555-0972"]
-    noon = custody.drill(log, codes, "2026-07-30T12:00", marts.PHARMA).collect()
+    noon = custody.drill(log, codes, "2031-05-06T10:45", marts.PHARMA).collect()
     now = custody.drill(log, codes, "9999-12-31", marts.PHARMA)
-    assert len(noon) == 9 and all(r["holder"].startswith("DEPOT") for r in noon)
-    assert all(r["holder"].startswith("PH-") and r["chain"].startswith("PLANT-1 -> DEPOT") and r["chain"].endswith(r["holder"]) for r in now.collect())
-    assert all(r["chain"].count("->") == 1 for r in custody.drill(log, codes, "2026-07-30T12:00", marts.PHARMA, as_of_chain=True).collect())
+    assert len(noon) == 9 and all(r["holder"].startswith("HUB") for r in noon)
+    assert all(r["holder"].startswith("SHOP-") and r["chain"].startswith("MAKER -> HUB") and r["chain"].endswith(r["holder"]) for r in now.collect())
+    assert all(r["chain"].count("->") == 1 for r in custody.drill(log, codes, "2031-05-06T10:45", marts.PHARMA, as_of_chain=True).collect())
     text = custody.render(now, "Recall")
     assert text.splitlines()[0] == "Recall" and len(text.splitlines()) == 10
-    assert custody.drill(log, spark.createDataFrame([("0555-0775",)], "ndc string"), "9999-12-31", marts.PHARMA).count() == 3
+    told = custody.render(now, "Recall", {"recall_number": "R-501", "status": "Ongoing", "description": "goods", "reason": "x" * 200})
+    assert told.splitlines()[1:3] == ["R-501 [Ongoing] goods", "because: " + "x" * 90] and len(told.splitlines()) == 12
+    assert custody.drill(log, spark.createDataFrame([("90-1",)], "ndc string"), "9999-12-31", marts.PHARMA).count() == 3
 
 
 def test_late_recording_alone_changes_the_holder(spark):
     from ledgerfold.envelope import ENVELOPE
 
     row = lambda seq, step, holder, at, known: (seq, f"i{seq}", step, "s", "lot:1", at, known, json.dumps({"ndc": "1", "holder_after": holder}), "h", False, None, None, "[]")
-    log = spark.createDataFrame([row(0, "ship", "CARRIER", "2026-07-30T10:00", "2026-07-30T10:00"), row(1, "receive", "PH", "2026-07-30T11:00", "2026-07-30T18:30")], ENVELOPE)
+    log = spark.createDataFrame([row(0, "ship", "TRUCK", "2031-05-06T08:00", "2031-05-06T08:00"), row(1, "receive", "SHOP", "2031-05-06T09:00", "2031-05-06T21:15")], ENVELOPE)
     held = lambda t: custody.drill(log, ["1"], t, "s").first()["holder"]
-    assert held("2026-07-30T12:00") == "CARRIER" and held("2026-07-30T19:00") == "PH"
+    assert held("2031-05-06T12:00") == "TRUCK" and held("2031-05-06T22:00") == "SHOP"
 
 
 def test_recall_picker(spark, documents):
     picked = custody.pick_recall(files.read_results(spark, str(documents / "recalls.json"))).first()
-    assert picked["recall_number"] == "D-1" and picked["ndcs"] == ["0555-0775", "0555-0971", "0555-0972"] and len(picked["description"]) == 80
+    assert picked["recall_number"] == "R-501" and picked["ndcs"] == ["90-1", "90-2", "90-3"] and len(picked["description"]) == 80 and picked["reason"] == "wrong label"
 
 
 def test_landing(spark, tmp_path):

@@ -4,6 +4,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from ledgerfold.envelope import ENVELOPE, InvalidEvents
 from ledgerfold.operators import folds
 from ledgerfold.operators.append import append, declare_errors
@@ -121,3 +123,54 @@ def test_the_fold_limits_before_it_shuffles(spark):
     log = append(empty(spark), batch(spark, MICRO))
     plan = folds.fold_state(log)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_one_day_is_numbered_by_many_tasks(spark):
+    """A snapshot's events all have one record_time; no task gets more than its share."""
+    from ledgerfold.operators.append import sequenced
+
+    n = 40_000
+    events = spark.range(n).selectExpr("'2031-01-01' AS record_time", "concat('e', id) AS entity_id", "'t' AS event_type", "sha2(cast(id AS string), 256) AS payload_hash", "'2031-01-01' AS event_time")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sequenced(events, 7).cache()
+        assert out.selectExpr("min(seq) a", "max(seq) b", "count(DISTINCT seq) n").first() == (7, n + 6, n)
+        placed = out.select("seq", "entity_id").orderBy("seq").collect()
+        assert [r["entity_id"] for r in placed] == sorted(f"e{i}" for i in range(n))
+        tasks = events.repartitionByRange("record_time", "entity_id").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) == 4 and max(r["count"] for r in tasks) < n / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_large_day_is_written_by_many_tasks(spark, tmp_path):
+    from ledgerfold.sources.files import read_log, top_seq, write_log
+
+    log = spark.range(60_000).selectExpr("id AS seq", "concat('i', id) AS event_id", "'t' AS event_type", "'s' AS source", "concat('e', id) AS entity_id", "'2031-01-01' AS event_time", "'2031-01-01' AS record_time", "sha2(cast(id AS string), 512) AS payload", "'h' AS payload_hash", "false AS is_error_declaration", "CAST(NULL AS string) AS declaration_time", "CAST(NULL AS string) AS reason", "'[]' AS corrective_event_ids").repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        assert top_seq(spark, str(tmp_path / "log")) == -1
+        write_log(log, str(tmp_path / "log"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "log" / "source=s" / "record_date=2031-01-01").glob("*.parquet"))) > 3
+    assert top_seq(spark, str(tmp_path / "log")) == 59_999 and read_log(spark, str(tmp_path / "log")).count() == 60_000
+
+
+def test_append_reads_the_batch_s_days_only(spark, tmp_path):
+    from ledgerfold.operators import append as appends
+    from ledgerfold.sources.files import read_log, top_seq, write_log
+
+    path = str(tmp_path / "log")
+    row = lambda e, day, v: ("t", "s", e, day, day, v)
+    batch = lambda *rows: spark.createDataFrame(rows, "event_type string, source string, entity_id string, event_time string, record_time string, payload string")
+    for b in (batch(row("a", "2031-01-01", "1"), row("b", "2031-01-01", "1")), batch(row("a", "2031-01-05", "2")), batch(row("a", "2031-01-03", "1"), row("b", "2031-01-03", "2"))):
+        write_log(appends.append(read_log(spark, path), b, top=top_seq(spark, path)), path)
+    log = read_log(spark, path)
+    assert sorted((r["seq"], r["entity_id"], r["record_time"]) for r in log.collect()) == [(0, "a", "2031-01-01"), (1, "b", "2031-01-01"), (2, "a", "2031-01-05"), (3, "b", "2031-01-03")]
+    # what was said on the fifth is wrong; that was declared after the batch's last day, and counts
+    write_log(appends.declare_errors(log, spark.createDataFrame([(log.where("seq = 1").first()["event_id"], "2031-02-01", "no", [])], "event_id string, declaration_time string, reason string, corrective_event_ids array<string>")), path)
+    again = appends.append(read_log(spark, path), batch(row("b", "2031-01-02", "1")), top=top_seq(spark, path))
+    assert [(r["seq"], r["entity_id"]) for r in again.collect()] == [(5, "b")]
+    plan = appends.not_replayed(appends.with_defaults(batch(row("a", "2031-01-05", "2"))), appends.between(read_log(spark, path), "2031-01-05", "2031-01-05"))._jdf.queryExecution().executedPlan().toString()
+    assert "record_date#" in plan.split("PartitionFilters")[1][:200]

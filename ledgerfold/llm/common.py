@@ -2,43 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 import tempfile
-import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerfold.storage import Workspace, shared_dir
 
-_own_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
 
 #: Words end at ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or by setCheckpointDir; where neither is set (tests, one machine), a
-    temporary one.  On a cluster a folder of this machine would lose rows, so there one has to be named."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    if sc.applicationId not in _own_dirs:
-        _own_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="ledgerfold-")
-        atexit.register(_remove, _own_dirs[sc.applicationId])
-    return _own_dirs[sc.applicationId]
-
-
-def _remove(url: str) -> None:
-    import shutil
-
-    shutil.rmtree(url.removeprefix("file://"), ignore_errors=True)
-
-
 def ship(spark: SparkSession) -> None:
     """Gives executors this package, once an application, wherever they start from."""
     app = spark.sparkContext.applicationId
@@ -56,32 +33,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-class Workspace:
-    """Written tables under the shared folder.  They cut lineage, so a lost executor costs only the running stage."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-    def put(self, df: DataFrame, name: str, **options) -> DataFrame:
-        df.write.options(compression="zstd", **options).parquet(f"{self.root}/{name}")
-        return self.get(df, name)
-
-    def counted(self, df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
-        """put(), and what an aggregate of the rows written gives: seen while they are written, without another job.
-        Recomputed tasks may count rows twice, so only none or some can be told from a number."""
-        seen = Observation()
-        out = self.put(df.observe(seen, *[c.alias(n) for n, c in (counts or {"n": F.count(F.lit(1))}).items()]), name)
-        return out, {k: v or 0 for k, v in seen.get.items()}
-
-    def get(self, df: DataFrame, name: str) -> DataFrame:
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
-
-    def drop(self, name: str = "") -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fields(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns; what else the table has, under whatever name, plays no part."""
     return df.select(*[df[n] for n in names])
+
+
+__all__ = ["WORD", "Workspace", "fields", "shared_dir", "ship"]

@@ -4,13 +4,16 @@ A passage is `length` consecutive units (bytes, or words) of one document.  Of e
 lowest hash (leftmost first) are its anchor; equal passages have equal anchors, so they meet wherever they are, and
 about 2 / (length - gram + 2) of all positions are anchors.
 
-1. `postings`: each piece of a few MB of text finds its anchors, with a fingerprint of the anchor and one of its
-   context (all units of the passages around it), and writes them as sorted runs, one for each bucket of fingerprints.
-   What repeats a context within the piece is settled there and not sent.
-2. `settle`: per bucket the runs are merged.  Where a context has occurred before, all its passages have.  Anchors with
-   several different contexts are asked about: their first occurrences are looked at unit by unit.
+1. `postings`: each piece of a few MB of text finds its anchors, with a fingerprint of the anchor and two of its context
+   (all units of the passages around it), and writes them as sorted runs, one for each bucket of fingerprints.  What
+   repeats a context within the piece is settled there and not sent.
+2. `settle`: per bucket the sorted runs are merged.  Where a context has occurred before, all its passages have; equal
+   contexts are those with equal fingerprints, 48 bits to meet by and 64 more to verify.  Anchors with several different
+   contexts are asked about: their first occurrences are looked at unit by unit.
 3. `gather`: settled and asked positions join the text, once; documents without either are done.
-4. The operator's own method compares the asked contexts, bucket by bucket.
+4. The operator's own method compares the asked contexts, bucket by bucket; those of anchors with more than `hot` contexts
+   are compared passage by passage, each passage dealt out by its own hash (`windows`), so that a phrase that stands in
+   any number of surroundings is never one group.
 5. `marked`: per document, the passages found become covered units.
 
 Rows between the steps hold packed arrays, a bucket holds a bounded share of the anchors, and a context that very many
@@ -38,18 +41,23 @@ from .kernels import BLANK, U, Words, constants, pieces, splitmix
 BUCKET_BYTES = 12 << 20
 LEAST_BUCKETS = 48
 PIECE = 3 << 20
+HOT = 1024
+#: What is said of a position: its context has occurred before; it is asked about; it is asked about and its anchor hot.
+BEFORE, ASKED, ASKED_HOT = 0, 1, 2
 RUN = "bucket int, doc_id long, packed binary"
 FOUND = "doc_id long, packed binary"
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """unit: byte or word.  same_document: an earlier start in the same document counts too."""
+    """unit: byte or word.  same_document: an earlier start in the same document counts too.  hot: contexts of an anchor
+    beyond which its passages are dealt out by themselves."""
 
     unit: str
     length: int
     gram: int
     same_document: bool
+    hot: int = HOT
 
     @property
     def reach(self) -> int:
@@ -97,10 +105,18 @@ class Text:
             self.h = self.words.hashes()
         self.scheme = scheme
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, position, fingerprint, fingerprint of the context) of each anchor."""
+    def passages(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of the passage that starts at each unit."""
+        if not hasattr(self, "_passages"):
+            second = constants(256, 93)[self.buf] if self.words is None else self.words.hashes(2)
+            n = self.scheme.length
+            self._passages = tuple(gram_hashes(h, n) if len(h) >= n else np.zeros(1, U) for h in (self.h, second))
+        return self._passages
+
+    def anchors(self) -> tuple[np.ndarray, ...]:
+        """(document, position, fingerprint, and two fingerprints of the context) of each anchor."""
         s = self.scheme
-        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
+        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U), np.zeros(0, U)
         if len(self.h) < s.length:
             return empty
         grams = gram_hashes(self.h, s.gram)
@@ -116,23 +132,24 @@ class Text:
             return empty
         at = at[np.concatenate([[True], at[1:] != at[:-1]])]
         doc = doc[at]
-        return doc, at - self.at[doc], grams[at], self.contexts(doc, at, grams)
+        return doc, at - self.at[doc], grams[at], *self.contexts(doc, at, grams)
 
-    def contexts(self, doc: np.ndarray, at: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    def contexts(self, doc: np.ndarray, at: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         s = self.scheme
         lo, hi = np.maximum(at - s.reach, self.at[doc]), np.minimum(at + s.length, self.at[doc + 1])
         full = (lo == at - s.reach) & (hi == at + s.length)
-        out = np.zeros(len(at), U)
+        out, check = np.zeros(len(at), U), np.zeros(len(at), U)
         first, last = at[full] - s.reach, at[full] + s.reach
-        x = np.zeros(len(first), U)
+        x, y = np.zeros(len(first), U), np.full(len(first), U(0x5851F42D4C957F2D))
         for k in [*range(0, 2 * s.reach, s.gram), None]:
-            x = splitmix(x ^ grams[last if k is None else first + k])
-        out[full] = x
+            g = grams[last if k is None else first + k]
+            x, y = splitmix(x ^ g), (y ^ (g >> U(32)) ^ (g << U(17))) * U(0xD1342543DE82EF95) + g
+        out[full], check[full] = x, splitmix(y)
         raw = self.buf if s.unit == "byte" else self.h
         for i in np.flatnonzero(~full):
-            own = hashlib.blake2b(raw[lo[i] : hi[i]].tobytes(), digest_size=8, salt=int(at[i] - lo[i]).to_bytes(8, "little"))
-            out[i] = int.from_bytes(own.digest(), "little")
-        return out
+            own = hashlib.blake2b(raw[lo[i] : hi[i]].tobytes(), digest_size=16, salt=int(at[i] - lo[i]).to_bytes(8, "little")).digest()
+            out[i], check[i] = int.from_bytes(own[:8], "little"), int.from_bytes(own[8:], "little")
+        return out, check
 
 
 def six(x: np.ndarray) -> bytes:
@@ -146,14 +163,14 @@ def from_six(raw: bytes, n: int, start: int) -> np.ndarray:
     return out.view(U).ravel()
 
 
-def pack_run(grams, contexts, docs, positions) -> bytes:
+def pack_run(grams, contexts, checks, docs, positions) -> bytes:
     """One sorted immutable run of postings."""
-    return six(grams) + six(contexts) + docs.astype(np.int64).tobytes() + positions.astype(np.int32).tobytes()
+    return six(grams) + six(contexts) + checks.tobytes() + docs.astype(np.int64).tobytes() + positions.astype(np.int32).tobytes()
 
 
 def unpack_run(raw: bytes) -> tuple[np.ndarray, ...]:
-    n = len(raw) // 24
-    return from_six(raw, n, 0), from_six(raw, n, 6 * n), np.frombuffer(raw, np.int64, n, 12 * n), np.frombuffer(raw, np.int32, n, 20 * n)
+    n = len(raw) // 32
+    return from_six(raw, n, 0), from_six(raw, n, 6 * n), np.frombuffer(raw, U, n, 12 * n), np.frombuffer(raw, np.int64, n, 20 * n), np.frombuffer(raw, np.int32, n, 28 * n)
 
 
 def runs_of(values: list[np.ndarray]) -> np.ndarray:
@@ -175,20 +192,35 @@ def dealt(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def per_document(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(document, its packed values) of int32 values, given in any order."""
+    """(document, its packed values) of int64 values, given in any order."""
     order = np.argsort(docs, kind="stable")
-    docs, values = docs[order], values[order].astype(np.int32)
+    docs, values = docs[order], values[order].astype(np.int64)
     at = runs_of([docs])
     for a, b in zip(at[:-1], at[1:]):
         yield int(docs[a]), values[a:b].tobytes()
 
 
-def repeats(grams, contexts, docs, positions, same_document: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merged_order(grams, contexts, checks, docs, positions) -> np.ndarray:
+    """The order by (anchor, context, check, document, position).  Sorted runs that follow one another are merged: the
+    stable sort finds them, and only postings that agree in what it compares are looked at closer."""
+    key = (grams << U(16)) | ((contexts >> U(32)) & U(0xFFFF))
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    same = k[1:] == k[:-1]
+    tied = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(k) else np.zeros(0, bool)
+    at = np.flatnonzero(tied)
+    if len(at):
+        own = order[at]
+        order[at] = own[np.lexsort((positions[own], docs[own], checks[own], contexts[own], key[own]))]
+    return order
+
+
+def repeats(grams, contexts, checks, docs, positions, same_document: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order by (anchor, context, document, position); in that order, whether the context has occurred before, and
     whether the posting is of its first occurrences."""
-    order = np.lexsort((positions, docs, contexts, grams))
-    g, c, d, p = grams[order], contexts[order], docs[order], positions[order]
-    at = runs_of([g, c])
+    order = merged_order(grams, contexts, checks, docs, positions)
+    g, c, k, d, p = (x[order] for x in (grams, contexts, checks, docs, positions))
+    at = runs_of([g, c, k])
     first = np.repeat(at[:-1], np.diff(at))
     before = d > d[first]
     if same_document:
@@ -199,16 +231,16 @@ def repeats(grams, contexts, docs, positions, same_document: bool) -> tuple[np.n
 def posting_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int) -> Iterator[pa.RecordBatch]:
     for part, texts in pieces(batches, limit=PIECE):
         ids = part.column(0).to_numpy(zero_copy_only=False)
-        doc, pos, grams, contexts = Text(texts, scheme).anchors()
+        doc, pos, grams, contexts, checks = Text(texts, scheme).anchors()
         docs = ids[doc].astype(np.int64)
-        # a fingerprint is six bytes from here on
+        # to meet by, a fingerprint is six bytes from here on
         grams, contexts = grams & U(0xFFFFFFFFFFFF), contexts & U(0xFFFFFFFFFFFF)
-        order, before, first = repeats(grams, contexts, docs, pos, scheme.same_document)
-        g, c, d, p = grams[order], contexts[order], docs[order], pos[order]
-        out = [(-1 - i % buckets, i, raw) for i, raw in per_document(d[before], p[before] * 2)]
-        g, c, d, p = g[first], c[first], d[first], p[first]
+        order, before, first = repeats(grams, contexts, checks, docs, pos, scheme.same_document)
+        g, c, k, d, p = (x[order] for x in (grams, contexts, checks, docs, pos))
+        out = [(-1 - i % buckets, i, raw) for i, raw in per_document(d[before], p[before] * 4 + BEFORE)]
+        g, c, k, d, p = (x[first] for x in (g, c, k, d, p))
         for b, own in dealt(g, buckets):
-            out.append((b, None, pack_run(g[own], c[own], d[own], p[own])))
+            out.append((b, None, pack_run(g[own], c[own], k[own], d[own], p[own])))
         yield rows(out, ("bucket", "doc_id", "packed"), (pa.int32(), pa.int64(), pa.binary()))
 
 
@@ -216,19 +248,27 @@ def rows(values: list[tuple], names: tuple, kinds: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v[i] for v in values], k) for i, k in enumerate(kinds)], names=list(names))
 
 
-def settle_group(bucket: pa.Table, same_document: bool) -> pa.Table:
-    """doc_id, packed: positions times two, plus one where asked about."""
-    ready = [(d, raw) for d, raw in zip(bucket.column("doc_id").to_pylist(), bucket.column("packed").to_pylist()) if d is not None]
-    raws = [raw for d, raw in zip(bucket.column("doc_id").to_pylist(), bucket.column("packed").to_pylist()) if d is None]
-    if raws:
-        g, c, d, p = (np.concatenate(x) for x in zip(*map(unpack_run, raws)))
-        order, before, first = repeats(g, c, d, p, same_document)
-        g, c, d, p = g[order], c[order], d[order], p[order]
-        several = np.zeros(len(g), bool)
+def settle_group(bucket: pa.Table, scheme: Scheme) -> pa.Table:
+    """doc_id, packed: positions times four, plus what is said of them.  With a column `new`, nothing is said of postings
+    that aren't, but that they are asked about where a new context has their anchor."""
+    fresh = bucket.column("new").to_pylist() if "new" in bucket.schema.names else [True] * len(bucket)
+    given = list(zip(bucket.column("doc_id").to_pylist(), bucket.column("packed").to_pylist(), fresh))
+    ready = [(d, raw) for d, raw, new in given if d is not None and new]
+    runs = [(unpack_run(raw), new) for d, raw, new in given if d is None]
+    if runs:
+        g, c, k, d, p = (np.concatenate(x) for x in zip(*(r for r, _ in runs)))
+        new = np.repeat([n for _, n in runs], [len(r[0]) for r, _ in runs])
+        order, before, first = repeats(g, c, k, d, p, scheme.same_document)
+        g, c, k, d, p, new = (x[order] for x in (g, c, k, d, p, new))
         at = runs_of([g])
-        several[:] = np.repeat(np.maximum.reduceat(c, at[:-1]) != np.minimum.reduceat(c, at[:-1]), np.diff(at))
-        use = before | several
-        ready += per_document(d[use], p[use] * 2 + ~before[use])
+        context = np.ones(len(g), np.int64)
+        context[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (k[1:] != k[:-1])
+        size = np.diff(at)
+        contexts = np.repeat(np.add.reduceat(context, at[:-1]), size)
+        any_new = np.repeat(np.logical_or.reduceat(new, at[:-1]), size)
+        use = (before & new) | (first & (contexts > 1) & any_new)
+        said = np.where(before, BEFORE, np.where(contexts > scheme.hot, ASKED_HOT, ASKED))
+        ready += per_document(d[use], p[use].astype(np.int64) * 4 + said[use])
     return pa.table({"doc_id": pa.array([d for d, _ in ready], pa.int64()), "packed": pa.array([r for _, r in ready], pa.binary())})
 
 
@@ -241,53 +281,106 @@ def settle(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
     """(doc_id, packed) from docs (doc_id, text)."""
     own = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     runs = own.mapInArrow(lambda it: posting_batches(it, scheme, buckets), RUN)
-    return runs.groupBy("bucket").applyInArrow(lambda t: settle_group(t, scheme.same_document), FOUND)
+    return runs.groupBy("bucket").applyInArrow(lambda t: settle_group(t, scheme), FOUND)
 
 
 def together(found: DataFrame, name: str) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list("packed").alias(name)).withColumnRenamed("doc_id", f"__{name}")
 
 
-def gather(docs: DataFrame, found: DataFrame, ws: Workspace, plain: list, *more: str) -> DataFrame:
+def gather(docs: DataFrame, found: DataFrame, ws: Workspace, plain: list, *more: str, name: str = "gathered") -> DataFrame:
     """docs with hits (list of packed); documents without any keep the columns of `plain` and lose their text."""
     hits = together(found, "hits")
     t = docs.join(hits, docs["doc_id"] == hits["__hits"], "left").drop("__hits")
     none = F.col("hits").isNull()
-    return ws.put(t.select("doc_id", *more, F.when(~none, F.col("text")).alias("text"), "hits", *[F.when(none, c).alias(n) for n, c in plain]), "gathered")
+    return ws.put(t.select("doc_id", *more, F.when(~none, F.col("text")).alias("text"), "hits", *[F.when(none, c).alias(n) for n, c in plain]), name)
 
 
-def asked(hits: list[bytes] | None) -> np.ndarray:
+def asked(hits: list[bytes] | None, said: tuple[int, ...]) -> np.ndarray:
     if not hits:
         return np.zeros(0, np.int64)
-    x = np.frombuffer(b"".join(hits), np.int32).astype(np.int64)
-    return np.unique(x[(x & 1) == 1] >> 1)
+    x = np.frombuffer(b"".join(hits), np.int64)
+    return np.unique(x[np.isin(x & 3, said)] >> 2)
+
+
+def asked_of(part: pa.RecordBatch, texts: list[bytes], scheme: Scheme, said: tuple[int, ...]) -> tuple[Text, np.ndarray, np.ndarray, np.ndarray] | None:
+    """(text, document, its id, position) of the positions of which any of this is said."""
+    want = [asked(h, said) for h in part.column(part.schema.get_field_index("hits")).to_pylist()]
+    doc = np.repeat(np.arange(len(texts)), [len(w) for w in want])
+    if not len(doc):
+        return None
+    pos, text = np.concatenate(want), Text(texts, scheme)
+    # with rows that share a doc_id, a position may be beyond the end of one
+    ok = pos + scheme.gram <= np.diff(text.at)[doc]
+    doc, pos = doc[ok], pos[ok]
+    return text, doc, part.column(0).to_numpy(zero_copy_only=False)[doc].astype(np.int64), pos
 
 
 def ask_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int, pack: Callable) -> Iterator[pa.RecordBatch]:
     """Packs what the method needs of each asked context: pack(text, document, id, position, bucket selection) -> bytes."""
     for part, texts in pieces(batches, limit=PIECE):
-        want = [asked(h) for h in part.column(part.schema.get_field_index("hits")).to_pylist()]
-        doc = np.repeat(np.arange(len(texts)), [len(w) for w in want])
-        if not len(doc):
+        if (found := asked_of(part, texts, scheme, (ASKED,))) is None:
             continue
-        pos, text = np.concatenate(want), Text(texts, scheme)
-        # with rows that share a doc_id, a position may be beyond the end of one
-        ok = pos + scheme.gram <= np.diff(text.at)[doc]
-        doc, pos = doc[ok], pos[ok]
+        text, doc, ids, pos = found
         at = text.at[doc] + pos
         grams = np.concatenate([gram_hashes(text.h[at[i : i + 65536, None] + np.arange(scheme.gram)], scheme.gram)[:, 0] for i in range(0, len(at), 65536)]) if len(at) else np.zeros(0, U)
         grams &= U(0xFFFFFFFFFFFF)
-        ids = part.column(0).to_numpy(zero_copy_only=False)[doc].astype(np.int64)
         out = [(b, len(own), pack(text, doc[own], ids[own], pos[own], grams[own])) for b, own in dealt(grams, buckets)]
         yield rows(out, ("bucket", "n", "packed"), (pa.int32(), pa.int32(), pa.binary()))
 
 
 def ask(gathered: DataFrame, scheme: Scheme, buckets: int, pack: Callable) -> DataFrame:
-    """bucket, n, packed."""
+    """bucket, n, packed of what is asked about but for hot anchors."""
     some = gathered.where(F.col("text").isNotNull()).select("doc_id", "text", "hits")
     return some.mapInArrow(lambda it: ask_batches(it, scheme, buckets, pack), "bucket int, n int, packed binary")
 
 
+def window_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int, said: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """Two hashes, document and start of each passage around the positions of which any of this is said, by bucket of the
+    first hash; of equal passages of a piece the first one that counts, and one that it repeats."""
+    for part, texts in pieces(batches, limit=PIECE):
+        if (found := asked_of(part, texts, scheme, said)) is None:
+            continue
+        text, doc, ids, pos = found
+        start = pos[:, None] - scheme.reach + np.arange(scheme.reach + 1)
+        there = (start >= 0) & (start + scheme.length <= np.diff(text.at)[doc][:, None])
+        which, _ = np.nonzero(there)
+        at = np.unique(text.at[doc][which] + start[there])
+        owner = np.searchsorted(text.at, at, side="right") - 1
+        one, two = (h[at] for h in text.passages())
+        names = part.column(0).to_numpy(zero_copy_only=False)[owner].astype(np.int64)
+        local = (at - text.at[owner]).astype(np.int32)
+        out = [(b, len(own), one[own].tobytes() + two[own].tobytes() + names[own].tobytes() + local[own].tobytes()) for b, own in dealt(one, buckets)]
+        yield rows(out, ("bucket", "n", "packed"), (pa.int32(), pa.int32(), pa.binary()))
+
+
+def window_group(bucket: pa.Table, same_document: bool) -> pa.Table:
+    """doc_id, packed (first, after the last) pairs of the passages that occur before."""
+    parts = [(np.frombuffer(raw, U, n), np.frombuffer(raw, U, n, 8 * n), np.frombuffer(raw, np.int64, n, 16 * n), np.frombuffer(raw, np.int32, n, 24 * n)) for n, raw in zip(bucket.column("n").to_pylist(), bucket.column("packed").to_pylist())]
+    a, b, d, p = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((p, d, b, a))
+    a, b, d, p = (x[order] for x in (a, b, d, p))
+    at = runs_of([a, b])
+    first = np.repeat(at[:-1], np.diff(at))
+    found = d > d[first]
+    if same_document:
+        found |= (d == d[first]) & (p > p[first])
+    d, p = d[found], p[found].astype(np.int64)
+    order = np.lexsort((p, d))
+    d, p = d[order], p[order]
+    fresh = np.ones(len(d), bool)
+    fresh[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1)
+    start, end = np.flatnonzero(fresh), np.flatnonzero(np.append(fresh[1:], True)[: len(d)])
+    return paired(d[start], p[start], p[end] + 1)
+
+
+def windows(gathered: DataFrame, scheme: Scheme, buckets: int, said: tuple[int, ...]) -> DataFrame:
+    """Answers, as of any method, by the passages themselves."""
+    some = gathered.where(F.col("text").isNotNull()).select("doc_id", "text", "hits")
+    dealt_out = some.mapInArrow(lambda it: window_batches(it, scheme, buckets, said), "bucket int, n int, packed binary")
+    return dealt_out.groupBy("bucket").applyInArrow(lambda t: window_group(t, scheme.same_document), FOUND)
+
+
 def with_answers(gathered: DataFrame, answers: DataFrame) -> DataFrame:
     """gathered with answers: list of packed (first passage, passage after the last) pairs."""
     a = together(answers, "answers")
@@ -300,8 +393,8 @@ def marked(n: int, scheme: Scheme, hits: list[bytes] | None, answers: list[bytes
     if n >= scheme.length:
         first = last = np.zeros(0, np.int64)
         if hits:
-            x = np.frombuffer(b"".join(hits), np.int32).astype(np.int64)
-            p = x[(x & 1) == 0] >> 1
+            x = np.frombuffer(b"".join(hits), np.int64)
+            p = x[(x & 3) == BEFORE] >> 2
             first, last = np.maximum(p - scheme.reach, 0), np.minimum(p, n - scheme.length)
         if answers:
             x = np.frombuffer(b"".join(answers), np.int32).astype(np.int64).reshape(-1, 2)
@@ -320,8 +413,12 @@ def answers_of(docs: np.ndarray, starts: np.ndarray, found: np.ndarray) -> pa.Ta
     step = np.diff(wide, axis=1)
     r, a = np.nonzero(step == 1)
     _, b = np.nonzero(step == -1)
-    pairs = np.stack([starts[r] + a, starts[r] + b], axis=1).astype(np.int32)
-    order = np.argsort(docs[r], kind="stable")
-    d, pairs = docs[r][order], pairs[order]
+    return paired(docs[r], starts[r] + a, starts[r] + b)
+
+
+def paired(docs: np.ndarray, first: np.ndarray, after: np.ndarray) -> pa.Table:
+    pairs = np.stack([first, after], axis=1).astype(np.int32)
+    order = np.argsort(docs, kind="stable")
+    d, pairs = docs[order], pairs[order]
     at = runs_of([d])
     return pa.table({"doc_id": pa.array(d[at[:-1]] if len(d) else [], pa.int64()), "packed": pa.array([pairs[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())})

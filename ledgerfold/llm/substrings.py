@@ -2,15 +2,17 @@
 
 Removes each word that lies in a window of `length` words whose sequence also starts in a document with a smaller id.
 
-Index: every piece of text is flushed as sorted immutable runs of window fingerprints, one for each bucket (see
-passages: a window is posted under its anchor, with a fingerprint of all windows around that).  A batch is deduplicated
-by merging its runs with those of history, bucket by bucket; where fingerprints meet but contexts differ, each window is
-verified by two independent 64-bit hashes of its words.  `add` keeps the new runs; when there are more than FANOUT sets
-of runs they are compacted into one, in which each fingerprint has its earliest document only.
-
-The query is one batch over the whole table.  Results don't depend on how the documents come in batches, as long as
-batches come in the order of their ids; a batch is also held against older documents with larger ids, which it does not
-change.
+Index: every piece of text of a batch is flushed as sorted immutable runs of window fingerprints, one for each bucket
+(see passages: a window is posted under its anchor, with fingerprints of all windows around that).  A batch is
+deduplicated by merging its runs with those of history, bucket by bucket.  Contexts that meet in 48 + 48 bits are
+verified by 64 more; where an anchor's contexts differ, each window is verified by two independent 64-bit hashes of its
+words.  Runs of a batch become history; when there are more than FANOUT sets of runs they are compacted into one, in
+which each context has its earliest document only.
+
+The query feeds the table in BATCHES batches by id, through history, merges and compaction.  Results don't depend on how
+the documents come in batches, as long as batches come in the order of their ids; a batch is also held against older
+documents with larger ids, which it does not change.  History's texts are read again only for documents that share an
+anchor, but not its context, with the batch: from where the batch came from if that stays (`lasting`), else from a copy.
 
 Null texts and texts of fewer words than a window lose nothing; see passages for rows without a doc_id (they lose
 nothing and repeat nothing) and for rows that share one.
@@ -27,59 +29,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, Workspace, fields, ship
-from .kernels import BLANK, U, Words, pieces, spans_of
-from .passages import FOUND, RUN, Scheme, answers_of, ask, buckets_for, gather, gram_hashes, marked, pack_run, posting_batches, repeats, runs_of, settle_group, unpack_run, with_answers
+from .kernels import BLANK, Words, pieces, spans_of
+from .passages import ASKED, ASKED_HOT, FOUND, RUN, Scheme, buckets_for, gather, marked, pack_run, posting_batches, repeats, settle_group, unpack_run, windows, with_answers
 
 SCHEME = Scheme("word", 13, 5, False)
-FANOUT = 4
+FANOUT = 1
+BATCHES = 3
 INDEX_BUCKETS = 64
 
 
-def pack_windows(text, doc, ids, pos, grams) -> bytes:
-    """Of each context: id, position, a bit for each window there is, and two hashes of each window."""
-    s = text.scheme
-    n = np.diff(text.at)[doc]
-    start = pos[:, None] - s.reach + np.arange(s.reach + 1)
-    there = (start >= 0) & (start + s.length <= n[:, None])
-    at = text.at[doc][:, None] + np.clip(start, 0, np.maximum(n - s.length, 0)[:, None])
-    out = [ids.tobytes(), pos.astype(np.int32).tobytes(), (there << np.arange(s.reach + 1)).sum(axis=1).astype(np.int32).tobytes()]
-    for seed in (1, 2):
-        if seed not in text.__dict__.setdefault("windows", {}):
-            h = text.h if seed == 1 else text.words.hashes(seed)
-            text.windows[seed] = gram_hashes(h, s.length) if len(h) >= s.length else np.zeros(1, U)
-        w = text.windows[seed]
-        out.append(w[np.minimum(at, len(w) - 1)].tobytes())
-    return b"".join(out)
-
-
-def unpack_windows(raw: bytes, n: int, wide: int) -> tuple[np.ndarray, ...]:
-    ids, pos, bits = np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int32, n, 8 * n), np.frombuffer(raw, np.int32, n, 12 * n)
-    one = np.frombuffer(raw, U, n * wide, 16 * n).reshape(n, wide)
-    two = np.frombuffer(raw, U, n * wide, 16 * n + 8 * n * wide).reshape(n, wide)
-    return ids, pos, bits, one, two
-
-
-def verify_group(bucket: pa.Table, scheme: Scheme) -> pa.Table:
-    wide = scheme.reach + 1
-    parts = [unpack_windows(raw, n, wide) for n, raw in zip(bucket.column("n").to_pylist(), bucket.column("packed").to_pylist())]
-    ids, pos, bits, one, two = (np.concatenate(x) for x in zip(*parts))
-    there = (bits[:, None] >> np.arange(wide) & 1).astype(bool)
-    r, s = np.nonzero(there)
-    a, b, d = one[r, s], two[r, s], ids[r]
-    order = np.lexsort((d, b, a))
-    at = runs_of([a[order], b[order]])
-    first = d[order][np.repeat(at[:-1], np.diff(at))]
-    found = np.zeros(there.shape, bool)
-    found[r[order], s[order]] = d[order] > first
-    return answers_of(ids, pos.astype(np.int64) - scheme.reach, found)
-
-
 def compact_group(bucket: pa.Table) -> pa.Table:
     """One sorted run, with each context's postings in its earliest document."""
-    g, c, d, p = (np.concatenate(x) for x in zip(*map(unpack_run, bucket.column("packed").to_pylist())))
-    order, _, first = repeats(g, c, d, p, False)
-    own = order[first]
-    return pa.table({"bucket": bucket.column("bucket").slice(0, 1), "doc_id": pa.array([None], pa.int64()), "packed": pa.array([pack_run(g[own], c[own], d[own], p[own])], pa.binary())})
+    run = [np.concatenate(x) for x in zip(*map(unpack_run, bucket.column("packed").to_pylist()))]
+    order, _, first = repeats(*run, False)
+    return pa.table({"bucket": bucket.column("bucket").slice(0, 1), "doc_id": pa.array([None], pa.int64()), "packed": pa.array([pack_run(*(x[order[first]] for x in run))], pa.binary())})
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
@@ -106,60 +69,86 @@ def cut_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[p
 
 
 class FingerprintIndex:
-    """What earlier batches held, in the shared folder: sets of runs, and their documents for verification."""
+    """What earlier batches held, in the shared folder: sets of runs, and where their documents are."""
 
     def __init__(self, spark: SparkSession, scheme: Scheme = SCHEME, buckets: int = INDEX_BUCKETS):
         ship(spark)
         self.ws, self.scheme, self.buckets = Workspace(spark, "substrings"), scheme, buckets
-        self.runs: list[DataFrame] = []
+        self.runs: list[tuple[str, DataFrame]] = []
         self.history: list[DataFrame] = []
         self.made = 0
 
-    def _put(self, df: DataFrame, kind: str) -> DataFrame:
+    def _put(self, df: DataFrame, kind: str) -> tuple[str, DataFrame]:
         self.made += 1
-        return self.ws.put(df, f"{kind}-{self.made}")
+        return f"{kind}-{self.made}", self.ws.put(df, f"{kind}-{self.made}")
 
-    def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
+    def add(self, docs: DataFrame, keep: bool = True, lasting: bool = False) -> DataFrame:
         """Per document of the batch: doc_id, n_words, n_removed, kept_sha256, and starts and ends of the removed runs of
-        words.  With keep the batch becomes history."""
+        words.  With keep the batch becomes history; lasting: docs can be read again as they are, so no copy is made."""
         scheme, buckets = self.scheme, self.buckets
         docs = fields(docs, "doc_id", "text")
         key = docs.schema["doc_id"].dataType.simpleString()
         own = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         runs = own.mapInArrow(lambda it: posting_batches(it, scheme, buckets), RUN)
-        if keep:
-            runs = self._put(runs, "runs")
-        merged = runs
-        for old in self.runs:
-            merged = merged.unionAll(old)
-        found = merged.groupBy("bucket").applyInArrow(lambda t: settle_group(t, False), FOUND)
+        name, fresh = self._put(runs, "runs") if keep else ("", runs)
+        merged = fresh.withColumn("new", F.lit(True))
+        for _, old in self.runs:
+            merged = merged.unionAll(old.withColumn("new", F.lit(False)))
+        found = merged.groupBy("bucket").applyInArrow(lambda t: settle_group(t, scheme), FOUND)
         text = F.coalesce("text", F.lit(""))
         words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
         plain = [("n_words", F.size(words).cast("long")), ("sha", F.sha2(F.array_join(words, " "), 256))]
-        everything = docs.withColumn("new", F.lit(True))
+        everything, used = docs.withColumn("new", F.lit(True)), []
         if self.history:
-            found = self._put(found, "found")
+            at, found = self._put(found, "found")
+            used.append(at)
+            asked_about = found.select(F.col("doc_id").alias("__asked")).distinct()
             for old in self.history:  # only what is asked about is read again
-                everything = everything.unionAll(old.join(found.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("new", F.lit(False)))
-        table = gather(everything, found, Workspace(docs.sparkSession, "substrings"), plain, "new")
-        answers = ask(table, scheme, buckets, pack_windows).groupBy("bucket").applyInArrow(lambda t: verify_group(t, scheme), FOUND)
+                everything = everything.unionAll(old.join(asked_about.hint("merge"), F.col("doc_id") == F.col("__asked"), "left_semi").withColumn("new", F.lit(False)))
+        table = gather(everything, found, self.ws, plain, "new", name=f"gathered-{self.made}")
+        answers = windows(table, scheme, buckets, (ASKED, ASKED_HOT))
         kind = f"doc_id {key}, n_words long, n_removed long, kept_sha256 string, starts array<int>, ends array<int>"
         out = with_answers(table.where("new"), answers).drop("new").mapInArrow(lambda it: cut_batches(it, scheme), kind)
         if keep:
-            out = self._put(out, "out")
-            self.history.append(self._put(own, "docs"))
-            self.runs.append(runs.where(F.col("doc_id").isNull()))
+            _, out = self._put(out, "out")
+            for n in (*used, f"gathered-{self.made - 1}"):
+                self.ws.drop(n)
+            self.history.append(own if lasting else self._put(own, "docs")[1])
+            self.runs.append((name, fresh.where(F.col("doc_id").isNull())))
             if len(self.runs) > FANOUT:
                 self.compact()
         return out
 
     def compact(self) -> None:
-        merged = self.runs[0]
-        for old in self.runs[1:]:
+        merged = self.runs[0][1]
+        for _, old in self.runs[1:]:
             merged = merged.unionAll(old)
-        self.runs = [self._put(merged.groupBy("bucket").applyInArrow(compact_group, RUN), "runs")]
+        done = self._put(merged.groupBy("bucket").applyInArrow(compact_group, RUN), "runs")
+        for name, _ in self.runs:
+            self.ws.drop(name)
+        self.runs = [done]
+
+
+def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
+    """docs in n parts by ranges of doc_id, of about as many rows; rows without a doc_id are in the first."""
+    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / n for i in range(1, n)])).first()[0] or []
+    cuts, key = sorted(set(cuts)), F.col("doc_id").cast("long")
+    if not cuts:
+        return [docs]
+    parts = [docs.where(key.isNull() | (key <= cuts[0]))]
+    parts += [docs.where((key > a) & (key <= b)) for a, b in zip(cuts[:-1], cuts[1:])]
+    return [*parts, docs.where(key > cuts[-1])]
+
+
+def deduplicated(docs: DataFrame, n: int = BATCHES, scheme: Scheme = SCHEME) -> DataFrame:
+    """The results of add() for all of docs, fed to an index in n batches; docs has to be readable again."""
+    index, out = FingerprintIndex(docs.sparkSession, scheme, buckets_for(docs)), None
+    parts = batches_of(fields(docs, "doc_id", "text"), n)
+    for i, part in enumerate(parts):
+        one = index.add(part, keep=i < len(parts) - 1, lasting=True)
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 def op8_substrings(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return FingerprintIndex(spark, buckets=buckets_for(docs)).add(docs, keep=False).drop("starts", "ends")
+    return deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("starts", "ends")

@@ -9,6 +9,9 @@ prefixes (see gsaca).  Their symbols are eight bytes each; as every context is a
 is the order of the bytes.  Contexts that agree in s bytes after the anchor are neighbours in the one, those that agree
 in the rest before it in the other, so two running numbers name each passage, and the first context with a name keeps it.
 
+What contexts that are equal as a whole repeat is known from their fingerprints (112 bits) without a suffix array, and
+anchors with more than `hot` contexts are compared passage by passage; see passages.
+
 Null and empty texts are empty; rows without a doc_id lose nothing; see passages for rows that share one.
 """
 
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Workspace, fields, ship
 from .gsaca import suffix_array
 from .kernels import U, pieces, spans_of, splitmix
-from .passages import Scheme, answers_of, ask, buckets_for, gather, marked, runs_of, settle, with_answers
+from .passages import ASKED_HOT, Scheme, answers_of, ask, buckets_for, gather, marked, runs_of, settle, windows, with_answers
 
 SCHEME = Scheme("byte", 100, 32, True)
 
@@ -144,6 +147,7 @@ def repeated_bytes(docs: DataFrame, scheme: Scheme = SCHEME) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     table = gather(docs, settle(docs, scheme, buckets), ws, [("n_bytes", F.octet_length(text).cast("long")), ("sha", F.sha2(text, 256))])
     answers = ask(table, scheme, buckets, pack_sides).groupBy("bucket").applyInArrow(lambda t: answer_group(t, scheme), "doc_id long, packed binary")
+    answers = answers.unionAll(windows(table, scheme, buckets, (ASKED_HOT,)))
     kind = f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, ends array<int>"
     return with_answers(table, answers).mapInArrow(lambda it: cut_batches(it, scheme), kind)
 

@@ -4,6 +4,7 @@ import json
 import random
 import re
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import ann, decontam, langid, lines, minhash, mixing, pii, registry, substrings, suffixes, tokens
+from ledgerfold.llm import ann, decontam, langid, lines, minhash, mixing, passages, pii, registry, substrings, suffixes, tokens
 from ledgerfold.llm.common import Workspace
 from ledgerfold.llm.components import components
 from ledgerfold.llm.gsaca import suffix_array
@@ -207,6 +208,42 @@ def test_batches_make_no_difference(spark, hard, pairs, monkeypatch):
     assert found == {d: {w} for d, w in brute.cut_words(pairs).items()}
 
 
+def test_the_query_goes_through_history(spark, hard, pairs, hard_rows, nothing, monkeypatch):
+    compacted = []
+    monkeypatch.setattr(substrings.FingerprintIndex, "compact", lambda self, f=substrings.FingerprintIndex.compact: compacted.append(len(self.runs)) or f(self))
+    out = substrings.deduplicated(hard, n=4)
+    assert compacted == [2, 2] and out.count() == len(hard_rows)
+    found = by_id(out, "n_words", "n_removed", "kept_sha256")
+    assert found.pop(None) and found == {d: {w} for d, w in brute.cut_words(pairs).items()}
+    assert substrings.deduplicated(nothing).count() == 0
+
+
+def phrase_in_many_places(n, words):
+    """Texts that share a phrase in surroundings of their own, and at last two that repeat the surroundings too."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    phrase = " ".join(word() for _ in range(words))
+    texts = [" ".join([*(word() for _ in range(20)), phrase, *(word() for _ in range(20))]) for _ in range(n)]
+    return [(i, t) for i, t in enumerate([*texts, texts[7] + " more", "less " + texts[n // 2][30:]])]
+
+
+def test_a_phrase_in_many_places(spark):
+    """Its anchor is asked about for each place; beyond `hot` places no group holds all of them."""
+    rows = phrase_in_many_places(400, 11)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few, buckets = replace(suffixes.SCHEME, hot=50), passages.buckets_for(docs)
+    assert by_id(substrings.deduplicated(docs, scheme=replace(substrings.SCHEME, hot=50)), "n_words", "n_removed", "kept_sha256") == {d: {w} for d, w in brute.cut_words(rows).items()}
+    want = {d: {w} for d, w in brute.cut_bytes(rows).items()}
+    most = {}
+    for scheme in (few, suffixes.SCHEME):
+        assert by_id(suffixes.repeated_bytes(docs, scheme), "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+        table = passages.gather(docs, passages.settle(docs, scheme, buckets), Workspace(spark, "t"), [])
+        sides = passages.ask(table, scheme, buckets, suffixes.pack_sides).groupBy("bucket").agg(F.sum("n").alias("n"))
+        hot = table.where("hits IS NOT NULL").select("doc_id", "text", "hits").mapInArrow(lambda it: passages.window_batches(it, few, buckets, (passages.ASKED_HOT,)), "bucket int, n int, packed binary").groupBy("bucket").agg((F.sum("n") / few.reach).alias("n"))
+        most[scheme.hot] = max(r["n"] for r in sides.unionAll(hot).collect())
+    assert most[50] < 100 and most[suffixes.SCHEME.hot] >= 400
+
+
 # ---- 5: neighbours ----
 
 

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+#: Shuffle files of a query go as soon as it has ended, not when the driver happens to collect its garbage.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """While a table is written; what it was made of is not needed again."""
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+
+
 class Workspace:
     """Written tables under the shared folder.  They cut lineage, so a lost executor costs only the running stage."""
 
@@ -41,7 +58,8 @@ class Workspace:
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str, **options) -> DataFrame:
-        df.write.options(compression="zstd", **options).parquet(f"{self.root}/{name}")
+        with cleaned(self.spark):
+            df.write.options(compression="zstd", **options).parquet(f"{self.root}/{name}")
         return self.get(df, name)
 
     def counted(self, df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:

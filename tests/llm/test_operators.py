@@ -1,6 +1,7 @@
 """Each operator over hard rows against its plain version, and over an empty table."""
 
 import json
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -279,6 +280,36 @@ def test_recall(spark):
     assert hit >= 0.9 * len(found) and len(found) == 200
 
 
+@pytest.mark.parametrize("table", ["sf0.1", "check_s"])
+def test_recall_of_little(spark, table):
+    """With shards so large that most rows are never ranked by distance."""
+    path = f"/root/testdata/{table}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("not there")
+    vectors = spark.read.parquet(path).repartition(2)
+    queries = vectors.where("vec_id % 100 = 0")
+    shares = {r: ann.recall(vectors, queries, rerank=r) for r in (0.05, ann.RERANK)}
+    assert shares[ann.RERANK] >= 0.9, shares
+
+
+def test_files_give_the_footrule():
+    rng = np.random.default_rng(4)
+    pivots = rng.normal(size=(ann.PREFIX * 2, 8))
+    orders = ann.permutations(rng.normal(size=(50, 8)), pivots)
+    q = ann.permutations(rng.normal(size=(1, 8)), pivots)[0]
+    place = lambda o: np.array([list(o).index(p) if p in o else ann.PREFIX for p in range(len(pivots))])
+    footrule = np.array([np.abs(place(o) - place(q)).sum() for o in orders])
+    assert (footrule == ann.PREFIX * (ann.PREFIX + 1) - 2 * ann.Inverted(orders).nearness(q)).all()
+
+
+def test_neighbours_of_several_rows_and_lengths(spark):
+    """An id on several rows is one query; lengths that the sample of pivots lacks are compared whole."""
+    rows = [(i, [float(i), 1.0]) for i in range(1, 40)] + [(100, [0.0, 1.0]), (100, [20.2, 1.0]), (100, [20.2, 1.0]), (200, [1.0, 2.0, 3.0]), (7, [1.0, 2.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, ann.search(df, df.where("vec_id in (100, 200)"), k=4).collect()))
+    assert [f[:3] for f in found] == [(100, 1, 20), (100, 2, 21), (100, 3, 1), (100, 4, 19), (200, 1, 7)]
+
+
 # ---- 6: near duplicates ----
 
 

@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from .common import Workspace, fields, ship
 
 SAMPLE = 2048
-PIVOTS = 512
+PIVOTS = 1024
 PREFIX = 64
-RERANK = 0.1
+RERANK = 0.12
 LEAST = 256
 SHARD = 16384
 QUERIES = 4096
@@ -68,10 +68,13 @@ def permutations(v: np.ndarray, pivots: np.ndarray | None) -> np.ndarray:
     """The PREFIX nearest pivots of each vector, in order; none without pivots."""
     if pivots is None:
         return np.zeros((len(v), 0), np.int16)
-    d, k = squares(v, pivots), min(PREFIX, len(pivots))
-    near = np.argpartition(d, k - 1, axis=1)[:, :k]
-    own = np.take_along_axis(d, near, 1)
-    return np.take_along_axis(near, np.lexsort((near, own), axis=1), 1).astype(np.int16)
+    k, out = min(PREFIX, len(pivots)), []
+    for i in range(0, len(v), 1024):
+        d = squares(v[i : i + 1024], pivots)
+        near = np.argpartition(d, k - 1, axis=1)[:, :k]
+        own = np.take_along_axis(d, near, 1)
+        out.append(np.take_along_axis(near, np.lexsort((near, own), axis=1), 1).astype(np.int16))
+    return np.concatenate(out)
 
 
 def fit(vectors: DataFrame) -> dict[int, np.ndarray]:

@@ -100,13 +100,15 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILA
     counts = occ.where("several").groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("docs"))
     masks = lines.join(leaves.where("several").hint("merge"), "leaf", "left_semi").groupBy("leaf", line).agg(F.min("mask").alias("mask"))
     variants = ws.put(masks.join(counts.hint("merge"), ["leaf", "line"]), "variants")
-    seeds = variants.groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("docs"), "mask", "line")).alias("seed"))
+    # written, so that a leaf of very many lines is a join that Spark can split
+    seeds = ws.put(variants.groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("docs"), "mask", "line")).alias("seed")), "first-seeds")
     others = variants.join(seeds.hint("merge"), "leaf").where(F.col("line") != F.col("seed.line"))
     others = ws.put(others.withColumn("taken", alike(F.col("mask"), F.col("seed.mask")) >= similar), "others")
     of = others.where("taken").select("leaf", "line", F.col("seed.line").alias("template"))
     of = ws.put(of.unionByName(further(others.where("NOT taken").select("leaf", "line", "mask", "docs"), similar, ws)), "templates")
     placed = occ.join(of.hint("merge"), ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     each = placed.groupBy("leaf", "template", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= min_docs)
+    each = ws.put(each, "recurring")
     return placed.join(each.hint("merge"), ["leaf", "template"]).where(F.col("doc_id") != F.col("first")).select("doc_id", "nth")
 
 

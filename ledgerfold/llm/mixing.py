@@ -62,7 +62,8 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = CYCLE, share: float = 1.5, mos
     first = ws.put(first, "groups")  # one row per source, size class and salt
     within = Window.partitionBy("source", "class", "salt").orderBy("size", "doc_id")
     ranked = sized.withColumn("nth", F.row_number().over(within))
-    rows = ranked.alias("a").join(first.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.class") == F.col("b.class")) & (F.col("a.salt") == F.col("b.salt")))
+    # grows with the corpus, so it is never broadcast
+    rows = ranked.alias("a").join(first.hint("merge").alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.class") == F.col("b.class")) & (F.col("a.salt") == F.col("b.salt")))
     rows = rows.select("doc_id", "a.source", "size", "source_size", "target", (F.col("first") + F.col("nth")).alias("k"))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     u = offset(seed)

@@ -90,6 +90,12 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return splitmix(out)
 
 
+def at_places(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """gram_hashes of these places only."""
+    out = [gram_hashes(h[at[i : i + 8192, None] + np.arange(n)], n)[:, 0] for i in range(0, len(at), 8192)]
+    return np.concatenate(out) if out else np.zeros(0, U)
+
+
 class Text:
     """Some texts as one array of unit hashes h, document i from at[i] to at[i + 1]."""
 
@@ -105,13 +111,13 @@ class Text:
             self.h = self.words.hashes()
         self.scheme = scheme
 
-    def passages(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the passage that starts at each unit."""
-        if not hasattr(self, "_passages"):
-            second = constants(256, 93)[self.buf] if self.words is None else self.words.hashes(2)
-            n = self.scheme.length
-            self._passages = tuple(gram_hashes(h, n) if len(h) >= n else np.zeros(1, U) for h in (self.h, second))
-        return self._passages
+    def passages(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of the passages that start at these units."""
+        n = self.scheme.length
+        second = constants(256, 93)[self.buf] if self.words is None else self.words.hashes(2)
+        if len(at) * 8 > len(self.h):
+            return tuple(gram_hashes(h, n)[at] for h in (self.h, second))
+        return tuple(at_places(h, at, n) for h in (self.h, second))
 
     def anchors(self) -> tuple[np.ndarray, ...]:
         """(document, position, fingerprint, and two fingerprints of the context) of each anchor."""
@@ -296,62 +302,50 @@ def gather(docs: DataFrame, found: DataFrame, ws: Workspace, plain: list, *more:
     return ws.put(t.select("doc_id", *more, F.when(~none, F.col("text")).alias("text"), "hits", *[F.when(none, c).alias(n) for n, c in plain]), name)
 
 
-def asked(hits: list[bytes] | None, said: tuple[int, ...]) -> np.ndarray:
+def asked(hits: list[bytes] | None) -> np.ndarray:
+    """The positions asked about, times four, plus what is said of them."""
     if not hits:
         return np.zeros(0, np.int64)
     x = np.frombuffer(b"".join(hits), np.int64)
-    return np.unique(x[np.isin(x & 3, said)] >> 2)
-
-
-def asked_of(part: pa.RecordBatch, texts: list[bytes], scheme: Scheme, said: tuple[int, ...]) -> tuple[Text, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(text, document, its id, position) of the positions of which any of this is said."""
-    want = [asked(h, said) for h in part.column(part.schema.get_field_index("hits")).to_pylist()]
-    doc = np.repeat(np.arange(len(texts)), [len(w) for w in want])
-    if not len(doc):
-        return None
-    pos, text = np.concatenate(want), Text(texts, scheme)
-    # with rows that share a doc_id, a position may be beyond the end of one
-    ok = pos + scheme.gram <= np.diff(text.at)[doc]
-    doc, pos = doc[ok], pos[ok]
-    return text, doc, part.column(0).to_numpy(zero_copy_only=False)[doc].astype(np.int64), pos
-
-
-def ask_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int, pack: Callable) -> Iterator[pa.RecordBatch]:
-    """Packs what the method needs of each asked context: pack(text, document, id, position, bucket selection) -> bytes."""
+    return np.unique(x[(x & 3) != BEFORE])
+
+
+def packed_windows(text: Text, ids: np.ndarray, doc: np.ndarray, pos: np.ndarray, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, number, packed) of the passages around some positions: two hashes, document and start, each once, by bucket
+    of the first hash."""
+    s = text.scheme
+    start = pos[:, None] - s.reach + np.arange(s.reach + 1)
+    there = (start >= 0) & (start + s.length <= np.diff(text.at)[doc][:, None])
+    at = np.unique((text.at[doc][:, None] + start)[there])
+    owner = np.searchsorted(text.at, at, side="right") - 1
+    one, two = text.passages(at)
+    names, local = ids[owner].astype(np.int64), (at - text.at[owner]).astype(np.int32)
+    for b, own in dealt(one, buckets):
+        yield b, len(own), one[own].tobytes() + two[own].tobytes() + names[own].tobytes() + local[own].tobytes()
+
+
+def ask_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int, pack: Callable | None) -> Iterator[pa.RecordBatch]:
+    """Packs what is asked about: the passages around hot positions (or all, without pack), and of the other contexts what
+    the method needs, pack(text, document, id, position, anchor) -> bytes."""
     for part, texts in pieces(batches, limit=PIECE):
-        if (found := asked_of(part, texts, scheme, (ASKED,))) is None:
+        want = [asked(h) for h in part.column(part.schema.get_field_index("hits")).to_pylist()]
+        doc = np.repeat(np.arange(len(texts)), [len(w) for w in want])
+        if not len(doc):
             continue
-        text, doc, ids, pos = found
-        at = text.at[doc] + pos
-        grams = np.concatenate([gram_hashes(text.h[at[i : i + 65536, None] + np.arange(scheme.gram)], scheme.gram)[:, 0] for i in range(0, len(at), 65536)]) if len(at) else np.zeros(0, U)
-        grams &= U(0xFFFFFFFFFFFF)
-        out = [(b, len(own), pack(text, doc[own], ids[own], pos[own], grams[own])) for b, own in dealt(grams, buckets)]
-        yield rows(out, ("bucket", "n", "packed"), (pa.int32(), pa.int32(), pa.binary()))
-
-
-def ask(gathered: DataFrame, scheme: Scheme, buckets: int, pack: Callable) -> DataFrame:
-    """bucket, n, packed of what is asked about but for hot anchors."""
-    some = gathered.where(F.col("text").isNotNull()).select("doc_id", "text", "hits")
-    return some.mapInArrow(lambda it: ask_batches(it, scheme, buckets, pack), "bucket int, n int, packed binary")
-
-
-def window_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int, said: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """Two hashes, document and start of each passage around the positions of which any of this is said, by bucket of the
-    first hash; of equal passages of a piece the first one that counts, and one that it repeats."""
-    for part, texts in pieces(batches, limit=PIECE):
-        if (found := asked_of(part, texts, scheme, said)) is None:
-            continue
-        text, doc, ids, pos = found
-        start = pos[:, None] - scheme.reach + np.arange(scheme.reach + 1)
-        there = (start >= 0) & (start + scheme.length <= np.diff(text.at)[doc][:, None])
-        which, _ = np.nonzero(there)
-        at = np.unique(text.at[doc][which] + start[there])
-        owner = np.searchsorted(text.at, at, side="right") - 1
-        one, two = (h[at] for h in text.passages())
-        names = part.column(0).to_numpy(zero_copy_only=False)[owner].astype(np.int64)
-        local = (at - text.at[owner]).astype(np.int32)
-        out = [(b, len(own), one[own].tobytes() + two[own].tobytes() + names[own].tobytes() + local[own].tobytes()) for b, own in dealt(one, buckets)]
-        yield rows(out, ("bucket", "n", "packed"), (pa.int32(), pa.int32(), pa.binary()))
+        text, said = Text(texts, scheme), np.concatenate(want)
+        pos, hot = said >> 2, ((said & 3) == ASKED_HOT) | (pack is None)
+        # with rows that share a doc_id, a position may be beyond the end of one
+        ok = pos + scheme.gram <= np.diff(text.at)[doc]
+        doc, pos, hot = doc[ok], pos[ok], hot[ok]
+        ids, out = part.column(0).to_numpy(zero_copy_only=False), []
+        if hot.any():
+            out += [(b, True, n, raw) for b, n, raw in packed_windows(text, ids, doc[hot], pos[hot], buckets)]
+        doc, pos = doc[~hot], pos[~hot]
+        if len(doc):
+            grams = at_places(text.h, text.at[doc] + pos, scheme.gram) & U(0xFFFFFFFFFFFF)
+            names = ids[doc].astype(np.int64)
+            out += [(b, False, len(own), pack(text, doc[own], names[own], pos[own], grams[own])) for b, own in dealt(grams, buckets)]
+        yield rows(out, ("bucket", "hot", "n", "packed"), (pa.int32(), pa.bool_(), pa.int32(), pa.binary()))
 
 
 def window_group(bucket: pa.Table, same_document: bool) -> pa.Table:
@@ -374,11 +368,19 @@ def window_group(bucket: pa.Table, same_document: bool) -> pa.Table:
     return paired(d[start], p[start], p[end] + 1)
 
 
-def windows(gathered: DataFrame, scheme: Scheme, buckets: int, said: tuple[int, ...]) -> DataFrame:
-    """Answers, as of any method, by the passages themselves."""
+def ask(gathered: DataFrame, scheme: Scheme, buckets: int, pack: Callable | None = None) -> DataFrame:
+    """bucket, hot, n, packed of what is asked about."""
     some = gathered.where(F.col("text").isNotNull()).select("doc_id", "text", "hits")
-    dealt_out = some.mapInArrow(lambda it: window_batches(it, scheme, buckets, said), "bucket int, n int, packed binary")
-    return dealt_out.groupBy("bucket").applyInArrow(lambda t: window_group(t, scheme.same_document), FOUND)
+    return some.mapInArrow(lambda it: ask_batches(it, scheme, buckets, pack), "bucket int, hot boolean, n int, packed binary")
+
+
+def answered(asked_about: DataFrame, scheme: Scheme, method: Callable | None = None) -> DataFrame:
+    """doc_id, packed: the answers of the method, and those by the passages themselves where these were packed."""
+
+    def one(key: tuple, bucket: pa.Table) -> pa.Table:
+        return window_group(bucket, scheme.same_document) if key[0].as_py() else method(bucket, scheme)
+
+    return asked_about.groupBy("hot", "bucket").applyInArrow(one, FOUND)
 
 
 def with_answers(gathered: DataFrame, answers: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, lines, minhash, mixing, pii, substrings, suffixes, tokens
+from . import ann, decontam, langid, lines, minhash, mixing, oracles, pii, substrings, suffixes, tokens
 
 
 def pipeline(spark, sf_dir: str):
@@ -28,4 +28,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.mix_sql(), "op10_lines": lines.lines_sql()}
+    return {
+        "op1_mix": mixing.mix_sql(),
+        "op4_suffixes": oracles.suffixes_sql(),
+        "op6_minhash": oracles.minhash_sql(),
+        "op7_decontaminate": oracles.decontam_sql(),
+        "op8_substrings": oracles.substrings_sql(),
+        "op9_pii": oracles.pii_sql(),
+        "op10_lines": lines.lines_sql(),
+    }

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, Workspace, fields, ship
 from .kernels import BLANK, Words, pieces, spans_of
-from .passages import ASKED, ASKED_HOT, FOUND, RUN, Scheme, buckets_for, gather, marked, pack_run, posting_batches, repeats, settle_group, unpack_run, windows, with_answers
+from .passages import FOUND, RUN, Scheme, answered, ask, buckets_for, gather, marked, pack_run, posting_batches, repeats, settle_group, unpack_run, with_answers
 
 SCHEME = Scheme("word", 13, 5, False)
 FANOUT = 1
@@ -106,7 +106,7 @@ class FingerprintIndex:
             for old in self.history:  # only what is asked about is read again
                 everything = everything.unionAll(old.join(asked_about.hint("merge"), F.col("doc_id") == F.col("__asked"), "left_semi").withColumn("new", F.lit(False)))
         table = gather(everything, found, self.ws, plain, "new", name=f"gathered-{self.made}")
-        answers = windows(table, scheme, buckets, (ASKED, ASKED_HOT))
+        answers = answered(ask(table, scheme, buckets), scheme)
         kind = f"doc_id {key}, n_words long, n_removed long, kept_sha256 string, starts array<int>, ends array<int>"
         out = with_answers(table.where("new"), answers).drop("new").mapInArrow(lambda it: cut_batches(it, scheme), kind)
         if keep:

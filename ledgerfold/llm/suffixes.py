@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Workspace, fields, ship
 from .gsaca import suffix_array
 from .kernels import U, pieces, spans_of, splitmix
-from .passages import ASKED_HOT, Scheme, answers_of, ask, buckets_for, gather, marked, runs_of, settle, windows, with_answers
+from .passages import Scheme, answered, answers_of, ask, buckets_for, gather, marked, runs_of, settle, with_answers
 
 SCHEME = Scheme("byte", 100, 32, True)
 
@@ -146,8 +146,7 @@ def repeated_bytes(docs: DataFrame, scheme: Scheme = SCHEME) -> DataFrame:
     buckets = buckets_for(docs)
     text = F.coalesce("text", F.lit(""))
     table = gather(docs, settle(docs, scheme, buckets), ws, [("n_bytes", F.octet_length(text).cast("long")), ("sha", F.sha2(text, 256))])
-    answers = ask(table, scheme, buckets, pack_sides).groupBy("bucket").applyInArrow(lambda t: answer_group(t, scheme), "doc_id long, packed binary")
-    answers = answers.unionAll(windows(table, scheme, buckets, (ASKED_HOT,)))
+    answers = answered(ask(table, scheme, buckets, pack_sides), scheme, answer_group)
     kind = f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, ends array<int>"
     return with_answers(table, answers).mapInArrow(lambda it: cut_batches(it, scheme), kind)
 

@@ -101,3 +101,40 @@ def test_live_tariffs(tmp_path):
     cli.fetch_tariffs(tmp_path, [{"effective_from": "2030-01-01", "label": "one", "name": "r1"}, {"effective_from": "2030-02-01", "label": "two", "name": "r2"}], c)
     assert slept == [1.0] and [r["file"] for r in json.loads((tmp_path / "revisions.json").read_text())["revisions"]] == ["r1.json", "r2.json"]
     assert "revision=r2" in (tmp_path / "r2.json").read_text()
+
+
+def test_pages_as_a_spark_source(spark):
+    import http.server
+    import threading
+    from urllib.parse import parse_qs, urlparse
+
+    from ledgerfold.sources.paged import PagedSource
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            q = {k: int(v[0]) for k, v in parse_qs(urlparse(self.path).query).items()}
+            body = json.dumps({"results": [{"i": i} for i in range(25)][q["skip"] : q["skip"] + q["limit"]]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(PagedSource)
+        rows = spark.read.format("paged").option("url", f"http://127.0.0.1:{server.server_port}/x.json?a=1").option("pageSize", 10).option("maxRecords", 50).load()
+        assert rows.rdd.getNumPartitions() == 5
+        assert sorted((r["skip"], json.loads(r["record"])["i"]) for r in rows.collect()) == [(i - i % 10, i) for i in range(25)]
+    finally:
+        server.shutdown()
+
+
+def test_live_index_and_binary(tmp_path):
+    c, _ = client(lambda u: b"\xd0\xcf\x11\xe0" + u.encode())
+    from ledgerfold.sources import client as live
+
+    assert live.fetch_index(c).startswith(b"\xd0\xcf\x11\xe0") and live.fetch_series(c, "A.B.C.D", 3).endswith(b"/A.B.C.D?lastNObservations=3")
+    assert b"limit=1000" in live.fetch_snapshot(c, "recalls")

@@ -10,8 +10,8 @@ they stand in the text, say too little to be a template and stay; op10_lines set
 pipeline 1, so that short lines too are judged by how many documents repeat them.  Blank lines stay.
 
 Only the leaves that several documents share are looked at closely, and equal lines are one row there, so a line that a
-third of all documents repeat is combined before it is dealt out.  Lines unlike the first seed are compared with each
-other only where they can be alike; those of one leaf that can are gathered in one row.
+third of all documents repeat is combined before it is dealt out.  Lines unlike the first seed meet seeds only where
+they can be alike, and no leaf is gathered in one row or task.
 
 Null texts have no lines and stay null; empty lines stay.  Rows with the same doc_id are one document when lines are
 counted.  Rows without a doc_id drop and count nothing.  Empty tables give empty results.
@@ -64,25 +64,45 @@ def alike(a: Column, b: Column) -> Column:
     return agreeing(F.split(a, " "), F.split(b, " "))
 
 
+def part_keys(mask: Column, similar: float) -> Column:
+    """Keys of a masked line's parts.  Lines of a leaf that differ in at most m places, none of them among the first LEAD,
+    are equal in one of m + 1 parts."""
+    tokens = F.split(mask, " ")
+    size = F.size(tokens) - LEAD
+    parts = F.floor(F.size(tokens) * (1 - similar) + 1e-6).cast("int") + 1
+    cut = lambda b: F.floor(b * size / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda b: F.xxhash64(b, F.concat_ws(" ", F.slice(tokens, LEAD + 1 + cut(b), cut(b + 1) - cut(b)))))
+
+
 def further(rest: DataFrame, similar: float, ws: Workspace) -> DataFrame:
     """leaf, line, template of the lines that belong to a seed other than themselves, among those (leaf, line, mask,
-    docs) that the first seed of their leaf left over."""
+    docs) that the first seed of their leaf left over.
+
+    In the order of seeds (documents, then mask), a line that comes first in each of its parts is unlike all before it,
+    so it is a seed; what is like a seed is none.  Both go, and again until no line is left.  A line then belongs to the
+    first of the seeds it is like.  No leaf or part is ever gathered in one row, and only seeds are paired with lines.
+    """
     ends = [F.min("line").alias("x"), F.max("line").alias("y")]
-    several = rest.groupBy("leaf").agg(*ends).where(F.col("x") != F.col("y")).select("leaf")
-    rest = ws.put(rest.join(several.hint("merge"), "leaf").withColumn("tokens", F.split("mask", " ")), "rest")
-    # lines that differ in at most m places, none of them among the first LEAD, are equal in one of m + 1 parts
-    size = F.size("tokens") - LEAD
-    parts = F.floor(F.size("tokens") * (1 - similar) + 1e-6).cast("int") + 1
-    cut = lambda b: F.floor(b * size / parts).cast("int")
-    part = lambda b: F.xxhash64(b, F.concat_ws(" ", F.slice("tokens", LEAD + 1 + cut(b), cut(b + 1) - cut(b))))
-    keyed = ws.put(rest.select("leaf", "line", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), part)).alias("part")), "parts")
-    met = keyed.groupBy("leaf", "part").agg(*ends).where(F.col("x") != F.col("y")).select("leaf", "part")
-    can = keyed.join(met.hint("merge"), ["leaf", "part"]).select("leaf", "line").distinct()
-    rows = rest.join(can.hint("merge"), ["leaf", "line"]).groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct((-F.col("docs")).alias("docs"), "mask", "line", "tokens"))).alias("all"))
-    near = lambda seeds, x: F.filter(seeds, lambda s: agreeing(s["tokens"], x["tokens"]) >= similar)
-    seeds = F.aggregate("all", F.slice("all", 1, 0), lambda seeds, x: F.when(F.size(near(seeds, x)) > 0, seeds).otherwise(F.concat(seeds, F.array(x))))
-    rows = ws.put(rows.withColumn("seeds", seeds), "seeds").select("leaf", "seeds", F.explode("all").alias("x"))
-    return rows.select("leaf", F.col("x.line").alias("line"), F.element_at(near(F.col("seeds"), F.col("x")), 1)["line"].alias("template")).where(F.col("line") != F.col("template"))
+    keyed = ws.put(rest.select("leaf", "line", "mask", (-F.col("docs")).alias("docs"), F.explode(part_keys(F.col("mask"), similar)).alias("part")), "parts")
+    met = ws.put(keyed.groupBy("leaf", "part").agg(*ends).where(F.col("x") != F.col("y")).select("leaf", "part"), "met")
+    met, some = ws.counted(keyed.join(met.hint("merge"), ["leaf", "part"]), "open-0")
+    left, seeds, turn = met, [], 0
+    while some["n"]:
+        top = ws.put(left.groupBy("leaf", "part").agg(F.min(F.struct("docs", "mask", "line")).alias("top")).select("leaf", "part", F.col("top.line").alias("top"), F.col("top.mask").alias("top_mask")), f"top-{turn}")
+        beside = left.join(top.hint("merge"), ["leaf", "part"])
+        seeds.append(ws.put(beside.groupBy("leaf", "line").agg(F.bool_and(F.col("line") == F.col("top")).alias("seed")).where("seed").select("leaf", "line"), f"seeds-{turn}"))
+        known = seeds[-1].select("leaf", F.col("line").alias("top"))
+        gone = beside.join(known.hint("merge"), ["leaf", "top"]).where((F.col("line") == F.col("top")) | (alike(F.col("mask"), F.col("top_mask")) >= similar)).select("leaf", "line").distinct()
+        turn += 1
+        left, some = ws.counted(left.join(ws.put(gone, f"gone-{turn}").hint("merge"), ["leaf", "line"], "left_anti"), f"open-{turn}")
+    if not seeds:
+        return rest.where(F.lit(False)).select("leaf", "line", F.col("line").alias("template"))
+    all_seeds = seeds[0]
+    for more in seeds[1:]:
+        all_seeds = all_seeds.unionAll(more)
+    own = met.join(all_seeds.hint("merge"), ["leaf", "line"]).select("leaf", "part", F.struct("docs", "mask", "line").alias("seed"))
+    like = met.join(own.hint("merge"), ["leaf", "part"]).where(alike(F.col("mask"), F.col("seed.mask")) >= similar)
+    return like.groupBy("leaf", "line").agg(F.min("seed").alias("seed")).select("leaf", "line", F.col("seed.line").alias("template")).where(F.col("line") != F.col("template"))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR, ws: Workspace | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -96,16 +116,20 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILA
     leaves = occ.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("line").alias("x"), F.max("line").alias("y")).where(F.col("a") != F.col("b"))
     leaves = ws.put(leaves.select("leaf", (F.col("x") != F.col("y")).alias("several")), "leaves")
     occ = ws.put(occ.join(leaves.hint("merge"), "leaf"), "shared")
-    # each distinct line once, with the number of documents that have it
-    counts = occ.where("several").groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("docs"))
-    masks = lines.join(leaves.where("several").hint("merge"), "leaf", "left_semi").groupBy("leaf", line).agg(F.min("mask").alias("mask"))
-    variants = ws.put(masks.join(counts.hint("merge"), ["leaf", "line"]), "variants")
+    # each distinct line once, with the number of documents that have it, and one place where it stands: its text is read
+    # again from there, so a line that a third of all documents repeat is neither dealt out by leaf nor gathered
+    found = occ.where("several").groupBy("leaf", "line", "doc_id").agg(F.min("nth").alias("nth"))
+    found = found.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("doc_id"), F.min_by("nth", "doc_id").alias("nth"))
+    places = ws.put(found, "places")
+    variants = lines.select("doc_id", "nth", "mask", line).join(places.hint("merge"), ["doc_id", "nth", "line"]).select("leaf", "line", "mask", "docs")
+    variants = ws.put(variants, "variants")
     # written, so that a leaf of very many lines is a join that Spark can split
     seeds = ws.put(variants.groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("docs"), "mask", "line")).alias("seed")), "first-seeds")
     others = variants.join(seeds.hint("merge"), "leaf").where(F.col("line") != F.col("seed.line"))
     others = ws.put(others.withColumn("taken", alike(F.col("mask"), F.col("seed.mask")) >= similar), "others")
     of = others.where("taken").select("leaf", "line", F.col("seed.line").alias("template"))
-    of = ws.put(of.unionByName(further(others.where("NOT taken").select("leaf", "line", "mask", "docs"), similar, ws)), "templates")
+    of = of.unionByName(further(others.where("NOT taken").select("leaf", "line", "mask", "docs"), similar, ws))
+    of = ws.put(of.dropDuplicates(["leaf", "line"]), "templates")  # rows that share a doc_id may have told a line twice
     placed = occ.join(of.hint("merge"), ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     each = placed.groupBy("leaf", "template", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= min_docs)
     each = ws.put(each, "recurring")

@@ -105,26 +105,32 @@ def set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array([ids[i] for i in rows], pa.binary()), pa.array([sets[i].view(np.int64) for i in rows], pa.list_(pa.int64()))], names=["node", "set_id", "items"])
 
 
-def first_of(members: DataFrame) -> DataFrame:
+# Minima by key are written before they are joined back, so that a key of very many nodes is a join that Spark can split.
+
+
+def first_of(members: DataFrame, ws: Workspace) -> DataFrame:
     """Of each key its weightiest node, as rep, and all its other nodes."""
     best = members.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("best")).select("key", F.col("best.node").alias("rep"))
+    best = ws.put(best, "best-0")
     return members.join(best.hint("merge"), "key").where(F.col("node") != F.col("rep"))
 
 
-def still_open(rest: DataFrame, of: DataFrame) -> DataFrame:
+def still_open(rest: DataFrame, of: DataFrame, ws: Workspace, turn: int) -> DataFrame:
     """Of (key, node, weight) the keys whose nodes are of several components, with component and top, the key's largest
     one."""
     labelled = rest.select("key", "node", "weight").join(of.hint("merge"), "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("component"))
+    labelled = ws.put(labelled, f"labelled-{turn}")
     each = labelled.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("best"))
     top = each.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "best", "component")).alias("top"), F.count("*").alias("parts")).where(F.col("parts") > 1).select("key", F.col("top.component").alias("top"))
+    top = ws.put(top, f"top-{turn}")
     return labelled.join(top.hint("merge"), "key")
 
 
-def next_of(open_keys: DataFrame) -> DataFrame:
+def next_of(open_keys: DataFrame, ws: Workspace) -> DataFrame:
     """Of each open key its weightiest node outside the top component, as rep, and all its other nodes."""
     outside = open_keys.where(F.col("component") != F.col("top"))
     best = outside.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node", "component")).alias("best"))
-    best = best.select("key", F.col("best.node").alias("rep"), F.col("best.component").alias("rep_component"))
+    best = ws.put(best.select("key", F.col("best.node").alias("rep"), F.col("best.component").alias("rep_component")), "best-1")
     return open_keys.join(best.hint("merge"), "key").where(F.col("node") != F.col("rep"))
 
 
@@ -192,7 +198,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     nodes = own.select("node", "set_id", "n", "sig")
     # the keys that several nodes have, in one row a node; a node that meets many others there is what they are likely copies of
     keyed = own.select("node", "set_id", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    shared = ws.put(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1), "shared")
     met = keyed.join(shared.hint("merge"), "key").groupBy("node", "set_id").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("weight"))
     met = ws.put(met, "met")
     sets = docs.join(met.select("node", "set_id").hint("merge"), docs["doc_id"] == F.col("node")).select("node", "set_id", "text")
@@ -204,21 +210,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = None
     if found["n"]:
         links = known.join(several.hint("merge"), "doc_id").join(own.select("set_id", "node").hint("merge"), "set_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")).distinct()
-    rest = ws.put(first_of(met.select("node", "weight", F.explode("keys").alias("key")).distinct()), "rest-0")
+    rest = ws.put(first_of(met.select("node", "weight", F.explode("keys").alias("key")), ws), "rest-0")
     pairs = rest.select(F.col("rep").alias("a"), F.col("rep").alias("ca"), F.col("node").alias("b"), F.col("node").alias("cb"))
     found = verified(ws.put(in_order(pairs), "pairs-0"), nodes, sets, percent)
     of = components(found if links is None else found.unionAll(links), ws, "components-0")
     for turn in (1, 2):
-        open_keys, some = ws.counted(still_open(rest, of), f"open-{turn}")
+        open_keys, some = ws.counted(still_open(rest, of, ws, turn), f"open-{turn}")
         if not some["n"]:
             break
         if turn == 1:
-            rest = ws.put(next_of(open_keys), "rest-1")
+            rest = ws.put(next_of(open_keys, ws), "rest-1")
             pairs = in_order(rest.where(F.col("component") != F.col("rep_component")).select(F.col("rep").alias("a"), F.col("rep_component").alias("ca"), F.col("node").alias("b"), F.col("component").alias("cb")))
         else:
             pairs = remaining_pairs(ws.put(prefixes(open_keys, sets, percent), "prefixes"), percent)
         of = merged(of, verified(ws.put(pairs, f"pairs-{turn}"), nodes, sets, percent), ws, f"components-{turn}")
-    for name in ("met", "sets", "several", "prefixes", *[f"{n}-{t}" for t in range(3) for n in ("rest", "open", "pairs")]):
+    for name in ("met", "shared", "sets", "several", "prefixes", *[f"{n}-{t}" for t in range(3) for n in ("best", "labelled", "top", "rest", "open", "pairs")]):
         ws.drop(name)  # the result reads sketch, nodes and components only
     labels = own.select("set_id", "node").join(of.hint("merge"), "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
     # empty sets all have the same null name; they are not dealt out by it

@@ -28,6 +28,7 @@ from ledgerfold.sources import client as live
 from ledgerfold.sources import files
 from ledgerfold.sources.landing import land
 from ledgerfold.sources.registry import write_seed
+from ledgerfold.storage import scope
 
 Lane = Callable[[SparkSession, Path, str], list[DataFrame]]
 SERIES = "MNFCTRIRSA"
@@ -150,11 +151,12 @@ def ingest(spark: SparkSession, documents: str | Path, out: str | Path, source:
             continue
         columns = ("event_type", "source", "entity_id", "event_time", "record_time", "payload")
         batch = reduce(DataFrame.unionAll, [r.select(*columns) for r in rows])
-        fresh = append(files.read_log(spark, log_path), batch, top=files.top_seq(spark, log_path)).cache()
-        counts[name] = fresh.count()
-        if counts[name]:
-            files.write_log(fresh, log_path)
-        fresh.unpersist()
+        with scope():
+            fresh = append(files.read_log(spark, log_path), batch, top=files.top_seq(spark, log_path)).cache()
+            counts[name] = fresh.count()
+            if counts[name]:
+                files.write_log(fresh, log_path)
+            fresh.unpersist()
     write_seed(spark, f"{out}/registry")
     return counts
 

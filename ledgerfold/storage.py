@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
+_scopes: list[list[Workspace]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,12 +51,25 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Workspaces made within are removed at the end: for callers that have written what they wanted of them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for ws in _scopes.pop():
+            ws.drop()
+
+
 class Workspace:
     """Written tables under the shared folder.  They cut lineage, so a lost executor costs only the running stage."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if _scopes:
+            _scopes[-1].append(self)
 
     def put(self, df: DataFrame, name: str, **options) -> DataFrame:
         with cleaned(self.spark):

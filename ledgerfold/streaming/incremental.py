@@ -47,9 +47,11 @@ def append_to_log(events: DataFrame, path: str, checkpoint: str) -> StreamingQue
     """Appends each micro-batch to the log once: what a failed attempt has written of it already is not written again."""
     from ledgerfold.operators.append import append
     from ledgerfold.sources.files import read_log, top_seq, write_log
+    from ledgerfold.storage import scope
 
     def write(batch: DataFrame, _: int) -> None:
-        write_log(append(read_log(batch.sparkSession, path), batch, top=top_seq(batch.sparkSession, path)), path)
+        with scope():
+            write_log(append(read_log(batch.sparkSession, path), batch, top=top_seq(batch.sparkSession, path)), path)
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -143,6 +143,23 @@ def test_one_day_is_numbered_by_many_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_scopes_remove_what_they_made(spark, tmp_path):
+    import os
+
+    from ledgerfold.storage import Workspace, scope
+
+    kept = Workspace(spark, "kept")
+    with scope():
+        gone = Workspace(spark, "gone")
+        out = kept.put(gone.put(spark.range(5), "a"), "b")
+        with pytest.raises(ValueError), scope():
+            inner = Workspace(spark, "inner")
+            inner.put(spark.range(1), "c")
+            raise ValueError
+        assert not os.path.exists(inner.root.removeprefix("file://")) and os.path.exists(gone.root.removeprefix("file://"))
+    assert out.count() == 5 and not os.path.exists(gone.root.removeprefix("file://"))
+
+
 def test_a_large_day_is_written_by_many_tasks(spark, tmp_path):
     from ledgerfold.sources.files import read_log, top_seq, write_log
 

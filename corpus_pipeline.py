@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.llm import decontam, langid, lines, minhash, mixing
 from ledgerfold.llm.common import Workspace
+from ledgerfold.storage import scope
 
 #: Texts that need more phrases a symbol than this are in no learned language; prose needs a quarter of that.
 MOST_PHRASES = 0.6
@@ -74,8 +75,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = Workspace(spark, "pipeline")
+    """The mix of documents.parquet; of the stages before it, only what the last of them kept stays in the shared folder."""
+    ws, last = Workspace(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = ws.put(stage(spark, docs, sf_dir), name)
+        with scope():
+            docs = ws.put(stage(spark, docs, sf_dir), name)
+        if last:
+            ws.drop(last)
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -41,6 +41,8 @@ from .kernels import BLANK, U, Words, constants, pieces, splitmix
 BUCKET_BYTES = 12 << 20
 LEAST_BUCKETS = 48
 PIECE = 3 << 20
+#: Units looked at together; longer pieces (a single long text) are gone through in overlapping stretches.
+STRETCH = 4 << 20
 HOT = 1024
 #: What is said of a position: its context has occurred before; it is asked about; it is asked about and its anchor hot.
 BEFORE, ASKED, ASKED_HOT = 0, 1, 2
@@ -90,12 +92,6 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return splitmix(out)
 
 
-def at_places(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """gram_hashes of these places only."""
-    out = [gram_hashes(h[at[i : i + 8192, None] + np.arange(n)], n)[:, 0] for i in range(0, len(at), 8192)]
-    return np.concatenate(out) if out else np.zeros(0, U)
-
-
 class Text:
     """Some texts as one array of unit hashes h, document i from at[i] to at[i + 1]."""
 
@@ -103,46 +99,70 @@ class Text:
         if scheme.unit == "byte":
             self.buf = np.frombuffer(b"".join(texts), np.uint8)
             self.at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-            self.h = constants(256, 92)[self.buf]
             self.words = None
         else:
             self.words = Words(texts, BLANK)
             self.at = self.words.doc_at
-            self.h = self.words.hashes()
-        self.scheme = scheme
+        self.scheme, self._h = scheme, {}
+
+    def units(self, where, seed: int = 1) -> np.ndarray:
+        """Hashes of some units; those of bytes are looked up, so a very long text takes no eight bytes a byte."""
+        if self.words is None:
+            return constants(256, 91 + seed)[self.buf[where]]
+        if seed not in self._h:
+            self._h[seed] = self.words.hashes(seed)
+        return self._h[seed][where]
 
     def passages(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Two independent hashes of the passages that start at these units."""
-        n = self.scheme.length
-        second = constants(256, 93)[self.buf] if self.words is None else self.words.hashes(2)
-        if len(at) * 8 > len(self.h):
-            return tuple(gram_hashes(h, n)[at] for h in (self.h, second))
-        return tuple(at_places(h, at, n) for h in (self.h, second))
+        if len(at) * 8 > self.at[-1] and self.at[-1] < 4 * STRETCH:
+            return tuple(gram_hashes(self.units(slice(None), seed), self.scheme.length)[at] for seed in (1, 2))
+        return tuple(self.at_places(at, self.scheme.length, seed) for seed in (1, 2))
+
+    def at_places(self, at: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
+        """gram_hashes of these places only."""
+        out = [gram_hashes(self.units(at[i : i + 8192, None] + np.arange(n), seed), n)[:, 0] for i in range(0, len(at), 8192)]
+        return np.concatenate(out) if out else np.zeros(0, U)
 
     def anchors(self) -> tuple[np.ndarray, ...]:
         """(document, position, fingerprint, and two fingerprints of the context) of each anchor."""
+        s, n, out = self.scheme, int(self.at[-1]), []
+        for first in range(0, n - s.length + 1, STRETCH):
+            lo, hi = max(0, first - s.reach), min(n, first + STRETCH + s.reach + s.length)
+            out.append(self._anchors(lo, hi, first - lo, min(n, first + STRETCH) - lo))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U), np.zeros(0, U)
+        at, *rest = out[0] if len(out) == 1 else (np.concatenate(x) for x in zip(*out))
+        if len(out) > 1:  # one at a seam may be found from both sides
+            at, own = np.unique(at, return_index=True)
+            rest = [x[own] for x in rest]
+        doc = np.searchsorted(self.at, at, side="right") - 1
+        return doc, at - self.at[doc], *rest
+
+    def _anchors(self, lo: int, hi: int, first: int, end: int) -> tuple[np.ndarray, ...]:
+        """(place, fingerprint, fingerprints of the context) of the anchors of the passages that start in [lo + first,
+        lo + end); all they need is in [lo, hi)."""
         s = self.scheme
-        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U), np.zeros(0, U)
-        if len(self.h) < s.length:
-            return empty
-        grams = gram_hashes(self.h, s.gram)
+        grams = gram_hashes(self.units(slice(lo, hi)), s.gram)
         low = (grams & U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=U)
         width, size = s.reach + 1, 1
         while size * 2 <= width:
             low = np.minimum(low[:-size], low[size:])
             size *= 2
         low = np.minimum(low[: len(low) - (width - size)], low[width - size :])
-        doc = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
-        at = (low[doc[: len(low)] == doc[s.length - 1 :]] & U(0xFFFFFFFF)).astype(np.int64)
-        if not len(at):
-            return empty
-        at = at[np.concatenate([[True], at[1:] != at[:-1]])]
-        doc = doc[at]
-        return doc, at - self.at[doc], grams[at], *self.contexts(doc, at, grams)
-
-    def contexts(self, doc: np.ndarray, at: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = low[:end]
+        doc_at = np.clip(self.at - lo, 0, hi - lo)
+        doc = np.repeat(np.arange(len(doc_at) - 1), np.diff(doc_at))
+        inside = doc[: len(low)] == doc[s.length - 1 : s.length - 1 + len(low)]
+        inside[:first] = False
+        at = (low[inside] & U(0xFFFFFFFF)).astype(np.int64)
+        if len(at):
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+        return at + lo, grams[at], *self.contexts(doc[at], at, grams, doc_at, lo)
+
+    def contexts(self, doc: np.ndarray, at: np.ndarray, grams: np.ndarray, doc_at: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         s = self.scheme
-        lo, hi = np.maximum(at - s.reach, self.at[doc]), np.minimum(at + s.length, self.at[doc + 1])
+        lo, hi = np.maximum(at - s.reach, doc_at[doc]), np.minimum(at + s.length, doc_at[doc + 1])
         full = (lo == at - s.reach) & (hi == at + s.length)
         out, check = np.zeros(len(at), U), np.zeros(len(at), U)
         first, last = at[full] - s.reach, at[full] + s.reach
@@ -151,9 +171,10 @@ class Text:
             g = grams[last if k is None else first + k]
             x, y = splitmix(x ^ g), (y ^ (g >> U(32)) ^ (g << U(17))) * U(0xD1342543DE82EF95) + g
         out[full], check[full] = x, splitmix(y)
-        raw = self.buf if s.unit == "byte" else self.h
         for i in np.flatnonzero(~full):
-            own = hashlib.blake2b(raw[lo[i] : hi[i]].tobytes(), digest_size=16, salt=int(at[i] - lo[i]).to_bytes(8, "little")).digest()
+            where = slice(base + int(lo[i]), base + int(hi[i]))
+            raw = self.buf[where] if s.unit == "byte" else self.units(where)
+            own = hashlib.blake2b(raw.tobytes(), digest_size=16, salt=int(at[i] - lo[i]).to_bytes(8, "little")).digest()
             out[i], check[i] = int.from_bytes(own[:8], "little"), int.from_bytes(own[8:], "little")
         return out, check
 
@@ -342,7 +363,7 @@ def ask_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int,
             out += [(b, True, n, raw) for b, n, raw in packed_windows(text, ids, doc[hot], pos[hot], buckets)]
         doc, pos = doc[~hot], pos[~hot]
         if len(doc):
-            grams = at_places(text.h, text.at[doc] + pos, scheme.gram) & U(0xFFFFFFFFFFFF)
+            grams = text.at_places(text.at[doc] + pos, scheme.gram) & U(0xFFFFFFFFFFFF)
             names = ids[doc].astype(np.int64)
             out += [(b, False, len(own), pack(text, doc[own], names[own], pos[own], grams[own])) for b, own in dealt(grams, buckets)]
         yield rows(out, ("bucket", "hot", "n", "packed"), (pa.int32(), pa.bool_(), pa.int32(), pa.binary()))
@@ -389,23 +410,25 @@ def with_answers(gathered: DataFrame, answers: DataFrame) -> DataFrame:
     return gathered.join(a, gathered["doc_id"] == a["__answers"], "left").drop("__answers")
 
 
-def marked(n: int, scheme: Scheme, hits: list[bytes] | None, answers: list[bytes] | None) -> np.ndarray:
-    """True for each of n units that a found passage covers."""
-    step = np.zeros(n + 1, np.int32)
+def covered(n: int, scheme: Scheme, hits: list[bytes] | None, answers: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs, of n units, that found passages cover."""
+    first = last = np.zeros(0, np.int64)
     if n >= scheme.length:
-        first = last = np.zeros(0, np.int64)
         if hits:
             x = np.frombuffer(b"".join(hits), np.int64)
             p = x[(x & 3) == BEFORE] >> 2
             first, last = np.maximum(p - scheme.reach, 0), np.minimum(p, n - scheme.length)
         if answers:
             x = np.frombuffer(b"".join(answers), np.int32).astype(np.int64).reshape(-1, 2)
-            first, last = np.concatenate([first, x[:, 0]]), np.concatenate([last, x[:, 1] - 1])
-        last = np.minimum(last, n - scheme.length)
-        ok = first <= last
-        np.add.at(step, first[ok], 1)
-        np.add.at(step, last[ok] + scheme.length, -1)
-    return np.cumsum(step[:-1]) > 0
+            first, last = np.concatenate([first, x[:, 0]]), np.concatenate([last, np.minimum(x[:, 1] - 1, n - scheme.length)])
+    ok = first <= last
+    order = np.argsort(first[ok], kind="stable")
+    start, end = first[ok][order], last[ok][order] + scheme.length
+    if not len(start):
+        return start, end
+    end = np.maximum.accumulate(end)
+    new = np.concatenate([[True], start[1:] > end[:-1]])
+    return start[new], end[np.append(np.flatnonzero(new)[1:], len(end)) - 1]
 
 
 def answers_of(docs: np.ndarray, starts: np.ndarray, found: np.ndarray) -> pa.Table:

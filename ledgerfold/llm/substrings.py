@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, Workspace, fields, ship
-from .kernels import BLANK, Words, pieces, spans_of
-from .passages import FOUND, RUN, Scheme, answered, ask, buckets_for, gather, marked, pack_run, posting_batches, repeats, settle_group, unpack_run, with_answers
+from .kernels import BLANK, Words, pieces
+from .passages import FOUND, RUN, Scheme, answered, ask, buckets_for, covered, gather, pack_run, posting_batches, repeats, settle_group, unpack_run, with_answers
 
 SCHEME = Scheme("word", 13, 5, False)
 FANOUT = 1
@@ -46,6 +46,7 @@ def compact_group(bucket: pa.Table) -> pa.Table:
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    none = np.zeros(0, np.int64)
     for part, texts in pieces(batches):
         col = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names) if n in ("hits", "answers", "n_words")}
         words = Words(texts, BLANK)
@@ -53,15 +54,15 @@ def cut_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[p
         for i in range(len(texts)):
             lo, hi = words.doc_at[i], words.doc_at[i + 1]
             some = bool(col["hits"][i])
-            mark = marked(int(hi - lo), scheme, col["hits"][i], col["answers"][i]) if some else np.zeros(hi - lo, bool)
-            a, b = spans_of(mark)
+            a, b = covered(int(hi - lo), scheme, col["hits"][i], col["answers"][i]) if some else (none, none)
             n_words.append(int(hi - lo) if some else col["n_words"][i])
-            removed.append(int(mark.sum()))
+            removed.append(int((b - a).sum()))
             starts.append(a)
             ends.append(b)
             if some:
                 base = words.off[i]
-                kept_text.append(b" ".join(texts[i][words.start[k] - base : words.end[k] - base] for k in range(lo, hi) if not mark[k - lo]))
+                left = [k for x, y in zip([lo, *(lo + b)], [*(lo + a), hi]) for k in range(x, y)]
+                kept_text.append(b" ".join(texts[i][words.start[k] - base : words.end[k] - base] for k in left))
             else:
                 kept_text.append(None)
         sha = [hashlib.sha256(t).hexdigest() if t is not None else own for t, own in zip(kept_text, part.column(part.schema.get_field_index("sha")).to_pylist())]

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, fields, ship
 from .gsaca import suffix_array
-from .kernels import U, pieces, spans_of, splitmix
-from .passages import Scheme, answered, answers_of, ask, buckets_for, gather, marked, runs_of, settle, with_answers
+from .kernels import U, pieces, splitmix
+from .passages import Scheme, answered, answers_of, ask, buckets_for, covered, gather, runs_of, settle, with_answers
 
 SCHEME = Scheme("byte", 100, 32, True)
 
@@ -116,20 +116,20 @@ def answer_group(bucket: pa.Table, scheme: Scheme) -> pa.Table:
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    none = np.zeros(0, np.int64)
     for part, texts in pieces(batches):
         col = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names) if n in ("hits", "answers", "n_bytes", "sha")}
         n_bytes, removed, spans, sha, starts, ends = [], [], [], [], [], []
         for i, t in enumerate(texts):
-            mark = marked(len(t), scheme, col["hits"][i], col["answers"][i]) if col["hits"][i] else np.zeros(0, bool)
-            a, b = spans_of(mark)
+            a, b = covered(len(t), scheme, col["hits"][i], col["answers"][i]) if col["hits"][i] else (none, none)
             if col["hits"][i]:
-                kept = np.frombuffer(t, np.uint8)[~mark].tobytes()
+                kept = b"".join(t[x:y] for x, y in zip([0, *b], [*a, len(t)]))
                 n_bytes.append(len(t))
                 sha.append(hashlib.sha256(kept).hexdigest())
             else:
                 n_bytes.append(col["n_bytes"][i])
                 sha.append(col["sha"][i])
-            removed.append(int(mark.sum()))
+            removed.append(int((b - a).sum()))
             spans.append(len(a))
             starts.append(a)
             ends.append(b)

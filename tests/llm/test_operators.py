@@ -245,6 +245,36 @@ def test_a_phrase_in_many_places(spark):
     assert most[50] < 100 and most[suffixes.SCHEME.hot] >= 400
 
 
+def test_stretches_make_no_difference(monkeypatch):
+    """The anchors of a long text, and of many texts, whether looked at together or in stretches."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 5)))
+    texts = [" ".join(word() for _ in range(n)).encode() for n in (3000, 0, 5, 40, 700, 12, 13, 14)]
+    for scheme in (suffixes.SCHEME, substrings.SCHEME):
+        found = []
+        for stretch in (4 << 20, 1000, 101):
+            monkeypatch.setattr(passages, "STRETCH", stretch)
+            found.append([x.tolist() for x in passages.Text(texts, scheme).anchors()])
+        assert found[0] == found[1] == found[2] and len(found[0][0]) > 50
+        at = np.arange(200)
+        h = passages.Text(texts, scheme)
+        assert all((a == b).all() for a, b in zip(h.passages(at), (passages.gram_hashes(h.units(slice(None), s), scheme.length)[at] for s in (1, 2))))
+
+
+def test_covered_runs():
+    rng = random.Random(13)
+    for _ in range(200):
+        n, scheme = rng.randint(0, 60), passages.Scheme("byte", 7, 3, True)
+        hits = [rng.randint(0, max(0, n - 3)) for _ in range(rng.randint(0, 6))]
+        pairs = [(x, x + rng.randint(1, 9)) for x in (rng.randint(0, 60) for _ in range(rng.randint(0, 3)))]
+        flags = [False] * n
+        starts = {s for p in hits for s in range(max(0, p - 4), min(p, n - 7) + 1)} | {s for a, b in pairs for s in range(a, min(b, n - 6))}
+        for s in starts:
+            flags[s : s + 7] = [True] * 7
+        a, b = passages.covered(n, scheme, [np.array([p * 4 for p in hits], np.int64).tobytes()], [np.array(pairs, np.int32).tobytes()])
+        assert list(zip(a.tolist(), b.tolist())) == brute.runs(flags)
+
+
 # ---- 5: neighbours ----
 
 

@@ -71,24 +71,34 @@ def build(docs: DataFrame, ws: Workspace | None = None) -> DataFrame:
     return ws.put(rows, "segments", **{"parquet.block.size": GROUP_BYTES})
 
 
+class Owners:
+    """The items of each window: lists one after another."""
+
+    def __init__(self, window: np.ndarray, item: np.ndarray, n: int):
+        pairs = np.unique(np.stack([window, item], axis=1), axis=0)
+        self.items, self.first = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(n + 1))
+
+    def __getitem__(self, window: int) -> np.ndarray:
+        return self.items[self.first[window] : self.first[window + 1]]
+
+
 class Phrases:
     """The distinct windows of a block of items, as rows of term numbers, by their length."""
 
     def __init__(self, items: list[tuple[str, bytes]], n: int):
         w = Words([t for _, t in items], NOT_ALNUM, lower=True)
-        h = w.hashes()
+        h, size = w.hashes(), np.diff(w.doc_at)
         self.names = sorted({name for name, _ in items})
         number = {name: i for i, name in enumerate(self.names)}
-        owners: dict[tuple, set[int]] = {}
-        for i, (name, _) in enumerate(items):
-            own = h[w.doc_at[i] : w.doc_at[i + 1]].tolist()
-            for s in range(max(1, len(own) - n + 1) if own else 0):
-                owners.setdefault(tuple(own[s : s + n]), set()).add(number[name])
-        self.terms = np.unique(np.array([t for k in owners for t in k], np.uint64))
-        self.by_length = {}
-        for m in sorted({len(k) for k in owners}):
-            keys = [k for k in owners if len(k) == m]
-            self.by_length[m] = (np.searchsorted(self.terms, np.array(keys, np.uint64)), np.tile(np.arange(m), (len(keys), 1)), [sorted(owners[k]) for k in keys])
+        own = np.array([number[name] for name, _ in items], np.int64)
+        self.terms, self.by_length = np.unique(h), {}
+        for m in np.unique(np.minimum(size[size > 0], n)).tolist():
+            start = np.arange(len(h) - m + 1)
+            start = start[(w.doc[start] == w.doc[start + m - 1]) & ((size[w.doc[start]] == m) | (m == n))]
+            rows = np.ascontiguousarray(h[start[:, None] + np.arange(m)])
+            _, one, which = np.unique(rows.view(f"V{8 * m}").ravel(), return_index=True, return_inverse=True)
+            terms = np.searchsorted(self.terms, rows[one])
+            self.by_length[m] = (terms, np.tile(np.arange(m), (len(one), 1)), Owners(which.ravel(), own[w.doc[start]], len(one)))
 
     def ordered(self, often: np.ndarray) -> Phrases:
         """With each window's terms, and the offsets they stand at, from the corpus's rarest on."""

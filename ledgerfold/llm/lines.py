@@ -11,7 +11,7 @@ pipeline 1, so that short lines too are judged by how many documents repeat them
 
 Only the leaves that several documents share are looked at closely, and equal lines are one row there, so a line that a
 third of all documents repeat is combined before it is dealt out.  Lines unlike the first seed meet seeds only where
-they can be alike, and no leaf is gathered in one row or task.
+they can be alike, and no leaf of many lines is gathered in one row or task.
 
 Null texts have no lines and stay null; empty lines stay.  Rows with the same doc_id are one document when lines are
 counted.  Rows without a doc_id drop and count nothing.  Empty tables give empty results.
@@ -28,6 +28,8 @@ LEAD = 3
 SIMILAR = 0.7
 MIN_DOCS = 3
 MIN_CHARS = 20
+#: Lines and characters up to which a leaf is gathered in one row.
+FEW, FEW_CHARS = 1024, 4 << 20
 
 _B, _NB = r"\x20\x09-\x0D", r"[^\x20\x09-\x0D]"
 #: From a token's start only, and possessive, so that long tokens take time in proportion.
@@ -64,43 +66,57 @@ def alike(a: Column, b: Column) -> Column:
     return agreeing(F.split(a, " "), F.split(b, " "))
 
 
-def part_keys(mask: Column, similar: float) -> Column:
-    """Keys of a masked line's parts.  Lines of a leaf that differ in at most m places, none of them among the first LEAD,
-    are equal in one of m + 1 parts."""
-    tokens = F.split(mask, " ")
+def part_keys(tokens: Column, similar: float) -> Column:
+    """Keys of the parts of a masked line.  Lines of a leaf that differ in at most m places, none of them among the first
+    LEAD, are equal in one of m + 1 parts."""
     size = F.size(tokens) - LEAD
     parts = F.floor(F.size(tokens) * (1 - similar) + 1e-6).cast("int") + 1
     cut = lambda b: F.floor(b * size / parts).cast("int")
     return F.transform(F.sequence(F.lit(0), parts - 1), lambda b: F.xxhash64(b, F.concat_ws(" ", F.slice(tokens, LEAD + 1 + cut(b), cut(b + 1) - cut(b)))))
 
 
-def further(rest: DataFrame, similar: float, ws: Workspace) -> DataFrame:
+def seeds_of(small: DataFrame, similar: float) -> DataFrame:
+    """leaf, line of the seeds among the lines of leaves of few lines, each leaf gathered in one row."""
+    each = small.select("leaf", F.struct("docs", "mask", "line").alias("x")).distinct()
+    rows = each.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: F.struct(x["line"].alias("line"), F.split(x["mask"], " ").alias("tokens"))).alias("all"))
+    near = lambda seeds, x: F.exists(seeds, lambda s: agreeing(s["tokens"], x["tokens"]) >= similar)
+    seeds = F.aggregate("all", F.slice("all", 1, 0), lambda seeds, x: F.when(near(seeds, x), seeds).otherwise(F.concat(seeds, F.array(x))))
+    return rows.select("leaf", F.explode(seeds).alias("s")).select("leaf", F.col("s.line").alias("line"))
+
+
+def further(rest: DataFrame, similar: float, ws: Workspace, few: int = FEW) -> DataFrame:
     """leaf, line, template of the lines that belong to a seed other than themselves, among those (leaf, line, mask,
     docs) that the first seed of their leaf left over.
 
-    In the order of seeds (documents, then mask), a line that comes first in each of its parts is unlike all before it,
-    so it is a seed; what is like a seed is none.  Both go, and again until no line is left.  A line then belongs to the
-    first of the seeds it is like.  No leaf or part is ever gathered in one row, and only seeds are paired with lines.
+    Seeds come in the order of documents, then mask, and what is like a seed is none.  Leaves of up to `few` lines that
+    can be alike (and FEW_CHARS characters) are gone through one by one.  In larger ones, a line that comes first in each
+    of its parts is unlike all before it, so it is a seed; it and what is like it go, and again until the leaf is small.
+    A line then belongs to the first of the seeds it is like.  Only seeds are paired with lines.
     """
     ends = [F.min("line").alias("x"), F.max("line").alias("y")]
-    keyed = ws.put(rest.select("leaf", "line", "mask", (-F.col("docs")).alias("docs"), F.explode(part_keys(F.col("mask"), similar)).alias("part")), "parts")
+    cut = rest.select("leaf", "line", "mask", (-F.col("docs")).alias("docs"), F.split("mask", " ").alias("tokens"))
+    keyed = ws.put(cut.select("leaf", "line", "mask", "docs", F.explode(part_keys(F.col("tokens"), similar)).alias("part")), "parts")
     met = ws.put(keyed.groupBy("leaf", "part").agg(*ends).where(F.col("x") != F.col("y")).select("leaf", "part"), "met")
-    met, some = ws.counted(keyed.join(met.hint("merge"), ["leaf", "part"]), "open-0")
+    met = ws.put(keyed.join(met.hint("merge"), ["leaf", "part"]), "open-0")
     left, seeds, turn = met, [], 0
-    while some["n"]:
-        top = ws.put(left.groupBy("leaf", "part").agg(F.min(F.struct("docs", "mask", "line")).alias("top")).select("leaf", "part", F.col("top.line").alias("top"), F.col("top.mask").alias("top_mask")), f"top-{turn}")
-        beside = left.join(top.hint("merge"), ["leaf", "part"])
+    while True:
+        each = left.groupBy("leaf", "line").agg(F.max(F.length("mask")).alias("chars")).groupBy("leaf").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+        size = ws.put(each.select("leaf", ((F.col("n") <= few) & (F.col("chars") <= FEW_CHARS)).alias("small")), f"size-{turn}")
+        seeds.append(ws.put(seeds_of(left.join(size.where("small").hint("merge"), "leaf", "left_semi"), similar), f"small-seeds-{turn}"))
+        left, some = ws.counted(left.join(size.where("NOT small").hint("merge"), "leaf", "left_semi"), f"large-{turn}")
+        if not some["n"]:
+            break
+        top = left.groupBy("leaf", "part").agg(F.min(F.struct("docs", "mask", "line")).alias("top")).select("leaf", "part", F.col("top.line").alias("top"), F.col("top.mask").alias("top_mask"))
+        beside = left.join(ws.put(top, f"top-{turn}").hint("merge"), ["leaf", "part"])
         seeds.append(ws.put(beside.groupBy("leaf", "line").agg(F.bool_and(F.col("line") == F.col("top")).alias("seed")).where("seed").select("leaf", "line"), f"seeds-{turn}"))
         known = seeds[-1].select("leaf", F.col("line").alias("top"))
         gone = beside.join(known.hint("merge"), ["leaf", "top"]).where((F.col("line") == F.col("top")) | (alike(F.col("mask"), F.col("top_mask")) >= similar)).select("leaf", "line").distinct()
         turn += 1
-        left, some = ws.counted(left.join(ws.put(gone, f"gone-{turn}").hint("merge"), ["leaf", "line"], "left_anti"), f"open-{turn}")
-    if not seeds:
-        return rest.where(F.lit(False)).select("leaf", "line", F.col("line").alias("template"))
+        left = ws.put(left.join(ws.put(gone, f"gone-{turn}").hint("merge"), ["leaf", "line"], "left_anti"), f"open-{turn}")
     all_seeds = seeds[0]
     for more in seeds[1:]:
         all_seeds = all_seeds.unionAll(more)
-    own = met.join(all_seeds.hint("merge"), ["leaf", "line"]).select("leaf", "part", F.struct("docs", "mask", "line").alias("seed"))
+    own = ws.put(met.join(all_seeds.hint("merge"), ["leaf", "line"]).select("leaf", "part", F.struct("docs", "mask", "line").alias("seed")), "own")
     like = met.join(own.hint("merge"), ["leaf", "part"]).where(alike(F.col("mask"), F.col("seed.mask")) >= similar)
     return like.groupBy("leaf", "line").agg(F.min("seed").alias("seed")).select("leaf", "line", F.col("seed.line").alias("template")).where(F.col("line") != F.col("template"))
 

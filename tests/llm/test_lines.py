@@ -41,7 +41,7 @@ def test_second_family_of_a_leaf(spark):
     assert dropped(spark, docs) == plain(docs) == {(i, 0) for i in (1, 2, 3, 10, 11, 12)} | {(i, 1) for i in (1, 2, 3)}
 
 
-def test_templates_until_no_line_is_left(spark):
+def test_templates_until_no_line_is_left(spark, monkeypatch):
     rng = random.Random(5)
     docs = []
     for i in range(400):
@@ -50,6 +50,11 @@ def test_templates_until_no_line_is_left(spark):
         docs.append((i, " ".join(["same", "old", "start"] + [w if rng.random() < 0.8 else rng.choice(("other", "place", "x7")) for w in (kind[:1] * (n - 3))])))
     assert dropped(spark, docs) == plain(docs)
     assert dropped(spark, docs, similar=0.9) == plain(docs, similar=0.9) != plain(docs)
+    # leaves too large to be gathered, in rounds
+    monkeypatch.setattr(lines.further, "__defaults__", (4,))
+    assert dropped(spark, docs) == plain(docs)
+    monkeypatch.setattr(lines.further, "__defaults__", (0,))
+    assert dropped(spark, docs, similar=0.9) == plain(docs, similar=0.9)
 
 
 def test_lines_of_variable_fields_and_short_lines(spark):

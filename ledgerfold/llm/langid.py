@@ -226,7 +226,7 @@ def learn(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> Samples:
     """The bounded sample described above; documents that are held out, and texts without a letter, have no part."""
     own = fields(docs, "doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}"))
     ids = own.select("doc_id", "lang").distinct().withColumn("h", F.xxhash64("doc_id", F.lit(5)))
-    for salted in (F.pmod("h", F.lit(1024)), F.lit(0)):  # the lowest of a part first, so no language is one group in one task
+    for salted in (F.pmod("h", F.lit(32)), F.lit(0)):  # the lowest of a part first, so no language is one group in one task
         lowest = Window.partitionBy("lang", salted).orderBy(F.shiftright("h", 10), "h", "doc_id")
         ids = ids.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= per_lang)
     picked = {r["doc_id"] for r in ids.select("doc_id").collect()}  # per_lang for each language

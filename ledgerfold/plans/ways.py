@@ -110,6 +110,16 @@ def tariff_label_recovery(spark, d):
     return joins.with_label(tariff_log(spark, d).select("entity_id", "record_time"), spark.createDataFrame(REVISIONS, "effective_from string, label string"), "record_time")
 
 
+@query("index_csv_scan", "SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS period, o_totalprice::DOUBLE AS value FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0")
+def index_csv_scan(spark, d):
+    """A series in two columns of a CSV file; rows without a date or a number go."""
+    path = f"{Workspace(spark, 'index').root}/index.csv"
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.when(key % 5 == 0, "never").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("when"), F.when(key % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("what"))
+    rows.write.csv(path, header=True)
+    return files.read_index_series(spark, path)
+
+
 @query("registry_seed", "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v).lower() for v in r) + ")" for r in registry.SOURCES) + ") t(source, lane, event_type, natural_key, cadence, has_native_history)")
 def registry_seed(spark, d):
     path = f"{Workspace(spark, 'registry').root}/seed"

@@ -201,3 +201,27 @@ def test_landing(spark, tmp_path):
     assert tampered(spark, str(tmp_path)).count() == 0
     a.write_bytes(b"changed")
     assert tampered(spark, str(tmp_path)).count() == 1
+
+
+@pytest.mark.parametrize("head, engine", [(b"\xd0\xcf\x11\xe0rest", "xlrd"), (b"PK\x03\x04rest", "openpyxl")])
+def test_workbooks_by_their_first_bytes_and_sheet(spark, tmp_path, monkeypatch, head, engine):
+    """Which reader is asked, and for which sheet; the readers themselves may not be installed."""
+    import pandas as pd
+
+    asked = []
+
+    class Book:
+        def __init__(self, content, engine):
+            asked.append((content.read()[:4], engine))
+            self.sheet_names = ["About", files.INDEX_SHEET]
+
+        def parse(self, sheet):
+            asked.append(sheet)
+            return pd.DataFrame({"Date": ["2031-01-31", "2031-02-28", "no date", None], "Index": [0.25, -1.5, 3.0, 4.0], "more": [1, 2, 3, 4]})
+
+    monkeypatch.setattr(pd, "ExcelFile", Book)
+    (tmp_path / "index.xlsx").write_bytes(head)
+    rows = files.read_index_series(spark, str(tmp_path / "index.xlsx")).collect()
+    assert [tuple(r) for r in rows] == [("2031-01-01", 0.25), ("2031-02-01", -1.5)] and asked == [(head[:4], engine), files.INDEX_SHEET]
+    files.read_index_series(spark, str(tmp_path / "index.xlsx"), "no such sheet").collect()
+    assert asked[-1] == 0

@@ -428,7 +428,7 @@ def stream_current_state(spark, d):
 @query("stream_change_detect", f"WITH {LOG_SQL}, b AS (SELECT entity_id, record_time, seq, (json_extract_string(payload, '$.k')::INT % 3)::VARCHAR AS payload_hash FROM base) SELECT * FROM b QUALIFY payload_hash IS DISTINCT FROM lag(payload_hash) OVER (PARTITION BY entity_id ORDER BY record_time, seq)")
 def stream_change_detect(spark, d):
     rows = observations(_stream(spark, d)).withColumn("payload_hash", (F.get_json_object("payload", "$.k").cast("int") % 3).cast("string"))
-    return _run(incremental.changes(rows), "append")
+    return incremental.run_changes(rows, Workspace(spark, "changes").root)
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")

@@ -3,14 +3,13 @@ Watermarks bound the state of duplicate removal only."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ledgerfold.storage import exists, scope
+
+STATE = ("entity_id", "record_time", "seq", "payload_hash")
 CHANGED = "entity_id string, record_time string, seq long, payload_hash string"
 
 
@@ -21,21 +20,30 @@ def current_state(events: DataFrame) -> DataFrame:
     return events.groupBy("entity_id").agg(last.alias("last")).select("entity_id", "last.*")
 
 
-def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last = state.get[0] if state.exists else None
-    rows = pd.concat(list(batches)).sort_values(["record_time", "seq"], kind="stable")
-    before = rows["payload_hash"].shift(1)
-    before.iloc[0] = last
-    kept = rows[(rows["payload_hash"] != before)]
-    state.update((rows["payload_hash"].iloc[-1],))
-    yield kept[["entity_id", "record_time", "seq", "payload_hash"]]
+def changes(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """The batch's observations whose payload differs from the entity's one before by (record_time, seq), among those
+    known and the batch's own; so a late one is compared with what it follows, not with what came last."""
+    touched = batch.select("entity_id").distinct()
+    rows = batch.select(*STATE, F.lit(True).alias("new")).unionAll(known.select(*STATE, F.lit(False).alias("new")).join(touched, "entity_id", "left_semi"))
+    before = F.lag("payload_hash").over(Window.partitionBy("entity_id").orderBy("record_time", "seq", "new"))
+    return rows.withColumn("before", before).where(F.col("new") & ~F.col("payload_hash").eqNullSafe(F.col("before"))).select(*STATE)
+
 
+def run_changes(events: DataFrame, root: str) -> DataFrame:
+    """Runs change detection over all input there is and returns the table of changes, which is also its state: each
+    micro-batch is compared with the changes written before it, and overwrites what a failed attempt has written."""
+    spark, table = events.sparkSession, f"{root}/changes"
+    read = lambda: spark.read.schema(f"{CHANGED}, batch long").parquet(table) if exists(spark, table) else spark.createDataFrame([], f"{CHANGED}, batch long")
+
+    def write(batch: DataFrame, n: int) -> None:
+        changes(batch, read().where(F.col("batch") < n)).write.mode("overwrite").parquet(f"{table}/batch={n}")
 
-def changes(events: DataFrame) -> DataFrame:
-    """Observations whose payload differs from the entity's one before, in order within each micro-batch.  The state is
-    one hash an entity."""
-    rows = events.select("entity_id", "record_time", "seq", "payload_hash")
-    return rows.groupBy("entity_id").applyInPandasWithState(_changes, CHANGED, "last string", "append", "NoTimeout")
+    query = events.select(*STATE).writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return read().drop("batch")
 
 
 def deduplicated(events: DataFrame, clock: str = "ts", within: str = "2 days") -> DataFrame:
@@ -47,7 +55,6 @@ def append_to_log(events: DataFrame, path: str, checkpoint: str) -> StreamingQue
     """Appends each micro-batch to the log once: what a failed attempt has written of it already is not written again."""
     from ledgerfold.operators.append import append
     from ledgerfold.sources.files import read_log, top_seq, write_log
-    from ledgerfold.storage import scope
 
     def write(batch: DataFrame, _: int) -> None:
         with scope():

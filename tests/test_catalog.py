@@ -76,3 +76,14 @@ def test_registry_seed(spark, tmp_path):
 
     write_seed(spark, str(tmp_path / "seed"))
     assert sorted(map(tuple, read_seed(spark, str(tmp_path / "seed")).collect())) == sorted(SOURCES)
+
+
+def test_late_changes_are_compared_with_what_they_follow(spark, tmp_path):
+    from ledgerfold.streaming.incremental import run_changes
+
+    schema = "entity_id string, record_time string, seq long, payload_hash string"
+    for n, rows in enumerate(([("e", "1", 1, "A"), ("e", "5", 2, "B"), ("f", "1", 3, "A")], [("e", "3", 4, "A"), ("e", "4", 5, "C"), ("f", "2", 6, "A")], [("f", "3", 7, None), ("f", "4", 8, None)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        found = run_changes(stream, f"{tmp_path}/out")
+    assert sorted(r["seq"] for r in found.collect()) == [1, 2, 3, 5, 7]

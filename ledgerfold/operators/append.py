@@ -5,8 +5,13 @@ before it.  "Before" is by record_time among what the log shows and the batch (m
 time then adds nothing, also after a restart.  In mode "arrival" it is by order of arrival: the log's last observation,
 then the batch's own.  A revert (A, B, A) is a change and is appended.
 
+One moment's observations in a batch are in order of event_time, then hash; so are those of the log that the batch brings
+again, as they were when they were appended.  What else the log has of that moment goes before them, by seq.
+
 Known limits of a log of changes under late backfill: an interval split by a late change keeps a redundant row, and an
-observation left out as unchanged is lost if a change before it arrives later, until it is observed again.
+observation left out as unchanged is lost if a change before it arrives later, until it is observed again.  Where an entity
+has several observations at one moment, a replay of a part (not all of them, or only what follows them) can append what was
+left out as unchanged: the log alone doesn't tell that from a revert.
 """
 
 from __future__ import annotations
@@ -51,22 +56,27 @@ def not_replayed(batch: DataFrame, log: DataFrame) -> DataFrame:
     return batch.dropDuplicates(list(REPLAY_KEY)).join(known, list(REPLAY_KEY), "left_anti")
 
 
-def changes(batch: DataFrame, log: DataFrame, mode: str = "record", last: str | None = None) -> DataFrame:
+def changes(batch: DataFrame, log: DataFrame, mode: str = "record", last: str | None = None, whole: DataFrame | None = None) -> DataFrame:
     """The batch's observations whose payload differs from the one before them.  last: the batch's last moment, if known;
-    in mode "record" no observation of a later day is read."""
+    in mode "record" no observation of a later day is read.  whole: the batch with what of it the log has already."""
     if mode not in ("record", "arrival"):
         raise ValueError(f"mode is record or arrival, not {mode}")
     touched = batch.select("entity_id").distinct()
     told = between(log, "0000-00-00", last) if mode == "record" else log
     known = told.where(~F.col("is_error_declaration")).join(rescinded(log), "event_id", "left_anti").join(touched, "entity_id", "left_semi").select("entity_id", "event_type", "event_time", "record_time", "payload_hash", "seq", F.lit(0).alias("__new"))
-    fresh = batch.withColumn("__new", F.lit(1))
+    known = known.withColumn("__own", F.lit(0))
+    if mode == "record" and whole is not None and "seq" not in batch.columns:
+        again = whole.select(*REPLAY_KEY).distinct().withColumn("__again", F.lit(1))
+        known = known.join(again, list(REPLAY_KEY), "left").withColumn("__own", F.coalesce("__again", F.lit(0))).drop("__again")
+    fresh = batch.withColumns({"__new": F.lit(1), "__own": F.lit(1)})
     both = fresh.unionByName(known, allowMissingColumns=True)
-    clock = ["record_time", "__new"] if mode == "record" else ["__new", F.when(F.col("__new") == 1, F.col("record_time")), ]
-    if "seq" in both.columns:
-        clock.append("seq")
-    before = Window.partitionBy("entity_id").orderBy(*clock, "record_time", "event_time", "payload_hash")
+    if mode == "record":
+        clock = ["record_time", "__own", F.when((F.col("__own") == 0) | (F.col("__new") == 1), F.col("seq"))]
+    else:
+        clock = ["__new", F.when(F.col("__new") == 1, F.col("record_time")), "seq", "record_time"]
+    before = Window.partitionBy("entity_id").orderBy(*clock, "event_time", "payload_hash", "__new")
     out = both.withColumn("__before", F.lag("payload_hash").over(before)).where((F.col("__new") == 1) & ~F.col("payload_hash").eqNullSafe(F.col("__before")))
-    return out.drop("__new", "__before", *([] if "seq" in batch.columns else ["seq"]))
+    return out.drop("__new", "__own", "__before", *([] if "seq" in batch.columns else ["seq"]))
 
 
 def append(log: DataFrame, batch: DataFrame, mode: str = "record", top: int | None = None) -> DataFrame:
@@ -81,7 +91,7 @@ def append(log: DataFrame, batch: DataFrame, mode: str = "record", top: int | No
     ready = with_defaults(validated(batch))
     days = batch.agg(F.min("record_time"), F.max("record_time")).first() if "record_date" in log.columns else (None, None)
     fresh = not_replayed(ready, between(log, *days))
-    fresh = changes(fresh, log, mode, days[1])
+    fresh = changes(fresh, log, mode, days[1], ready)
     if top is None:
         top = log.agg(F.max("seq")).first()[0]
     return sequenced(fresh, 0 if top is None else top + 1).select(*COLUMNS)

@@ -87,3 +87,25 @@ def test_late_changes_are_compared_with_what_they_follow(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
         found = run_changes(stream, f"{tmp_path}/out")
     assert sorted(r["seq"] for r in found.collect()) == [1, 2, 3, 5, 7]
+
+
+def events_table(spark, path, rows):
+    """rows: (event_id, seconds after 2024-01-10, user_id, event_type, k); each seventh id is recorded six hours late."""
+    made = spark.createDataFrame(rows, "event_id long, at long, user_id long, event_type string, k int")
+    made.selectExpr("event_id", "timestamp_seconds(unix_timestamp(timestamp'2024-01-10 00:00:00') + at) AS ts", "user_id", "event_type", "0D AS value", "concat('{\"k\": ', k, '}') AS props").write.parquet(f"{path}/events.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet/*.parquet'")
+    return con
+
+
+NOON = 12 * 3600
+#: Users with several observations recorded at one moment: 1 and 2 have first what is unchanged, then a change; 3's are
+#: numbered in another order than they are compared in, and what follows them is unchanged.
+MOMENTS = [(1, 0, 1, "view", 0), (7, NOON // 2, 1, "view", 0), (2, NOON, 1, "view", 1), (3, 0, 2, "view", 0), (4, NOON, 2, "view", 0), (5, NOON, 2, "click", 1), (6, NOON, 2, "view", 2)]
+MOMENTS += [(14, NOON // 2, 3, "view", 0), (8, NOON, 3, "click", 1), (9, NOON + 60, 3, "view", 1)]
+
+
+def test_a_replay_of_several_observations_of_a_moment_adds_nothing(spark, tmp_path):
+    con = events_table(spark, tmp_path, MOMENTS)
+    ours = {r["run"]: r["n"] for r in catalog.QUERIES["new_events_per_run"](spark, str(tmp_path)).collect()}
+    assert ours == dict(con.sql(catalog.SQL["new_events_per_run"]).fetchall()) and ours[2] == ours[3] == 0

@@ -191,3 +191,11 @@ def test_append_reads_the_batch_s_days_only(spark, tmp_path):
     assert [(r["seq"], r["entity_id"]) for r in again.collect()] == [(5, "b")]
     plan = appends.not_replayed(appends.with_defaults(batch(row("a", "2031-01-05", "2"))), appends.between(read_log(spark, path), "2031-01-05", "2031-01-05"))._jdf.queryExecution().executedPlan().toString()
     assert "record_date#" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_a_revert_within_a_moment_is_appended(spark):
+    """What another batch says of a moment comes after what the log has of it, whichever hash is smaller."""
+    log = empty(spark)
+    for day, a, b in (("2026-01-01", 1, 2), ("2026-01-02", 2, 1), ("2026-01-02", 1, 2)):
+        log = grown(log, batch(spark, [("E1", a, "2026-01-01", day), ("E2", b, "2026-01-01", day)])).cache()
+        assert state(log) == {"E1": a, "E2": b}

@@ -5,8 +5,9 @@ before it.  "Before" is by record_time among what the log shows and the batch (m
 time then adds nothing, also after a restart.  In mode "arrival" it is by order of arrival: the log's last observation,
 then the batch's own.  A revert (A, B, A) is a change and is appended.
 
-One moment's observations in a batch are in order of event_time, then hash; so are those of the log that the batch brings
-again, as they were when they were appended.  What else the log has of that moment goes before them, by seq.
+One moment's observations in a batch are in order of event_time, hash and type, so that reruns agree; so are those of
+the log that the batch brings again, as they were when they were appended.  What else the log has of that moment goes before
+them, by seq.
 
 Known limits of a log of changes under late backfill: an interval split by a late change keeps a redundant row, and an
 observation left out as unchanged is lost if a change before it arrives later, until it is observed again.  Where an entity
@@ -74,7 +75,7 @@ def changes(batch: DataFrame, log: DataFrame, mode: str = "record", last: str |
         clock = ["record_time", "__own", F.when((F.col("__own") == 0) | (F.col("__new") == 1), F.col("seq"))]
     else:
         clock = ["__new", F.when(F.col("__new") == 1, F.col("record_time")), "seq", "record_time"]
-    before = Window.partitionBy("entity_id").orderBy(*clock, "event_time", "payload_hash", "__new")
+    before = Window.partitionBy("entity_id").orderBy(*clock, "event_time", "payload_hash", "__new", "event_type")
     out = both.withColumn("__before", F.lag("payload_hash").over(before)).where((F.col("__new") == 1) & ~F.col("payload_hash").eqNullSafe(F.col("__before")))
     return out.drop("__new", "__own", "__before", *([] if "seq" in batch.columns else ["seq"]))
 

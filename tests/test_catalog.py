@@ -109,3 +109,25 @@ def test_a_replay_of_several_observations_of_a_moment_adds_nothing(spark, tmp_pa
     con = events_table(spark, tmp_path, MOMENTS)
     ours = {r["run"]: r["n"] for r in catalog.QUERIES["new_events_per_run"](spark, str(tmp_path)).collect()}
     assert ours == dict(con.sql(catalog.SQL["new_events_per_run"]).fetchall()) and ours[2] == ours[3] == 0
+
+
+#: A user's observations that are equal but for their types, delivered in four orders.
+TIED = [(7 * u + i + 1, u, u, ("view", "click", "signup", "error")[(u + i) % 4], 0) for u in range(100) for i in range(4)]
+
+
+def completed(name):
+    """The SQL with the ties of its orders resolved: by type, and by event_time."""
+    kept, seq = "ORDER BY record_time, event_time, payload_hash", "ORDER BY record_time, entity_id, event_type, payload_hash"
+    return catalog.SQL[name].replace(f"{kept})", f"{kept}, event_type)").replace(f"{seq})", f"{seq}, event_time)")
+
+
+def test_of_observations_equal_but_for_their_types_the_first_by_type_is_kept(spark, tmp_path):
+    con, name = events_table(spark, tmp_path, TIED), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # so that a user's observations come from several tasks
+    try:
+        ours = catalog.QUERIES["change_only_append"](spark, str(tmp_path)).toPandas()
+    finally:
+        spark.conf.set(name, before)
+    assert rows(ours) == rows(con.sql(completed("change_only_append")).df())
+    assert set(ours["event_type"]) == {"click"} and len(ours) == 100

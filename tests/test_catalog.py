@@ -131,3 +131,11 @@ def test_of_observations_equal_but_for_their_types_the_first_by_type_is_kept(spa
         spark.conf.set(name, before)
     assert rows(ours) == rows(con.sql(completed("change_only_append")).df())
     assert set(ours["event_type"]) == {"click"} and len(ours) == 100
+
+
+def test_a_restart_makes_what_one_append_of_all_makes(spark, tmp_path):
+    """Several observations of a moment, on both sides of the restart, equal ones among them."""
+    later = [(7 * n + (3 if n % 7 else 0) + 1000 * 7, at + 5 * 86400 * (u % 2), u, t, k) for n, (_, at, u, t, k) in enumerate(MOMENTS)]
+    con = events_table(spark, tmp_path, MOMENTS + later + [(7001, NOON, 1, "click", 1), (7002, NOON, 3, "error", 1)])
+    ours = catalog.QUERIES["replay_after_restart"](spark, str(tmp_path)).toPandas()
+    assert rows(ours) == rows(con.sql(completed("replay_after_restart")).df())

@@ -16,12 +16,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Workspace, fields
+from .common import Workspace, fields
 
 CYCLE = (3, 1, 2)
 OFFSET_STEPS = 1 << 20
 
 
+#: What words end at, as in WORD.
+BLANKS = r"\x20\x09-\x0D"
+
+
+def words(text: Column) -> Column:
+    """The number of words, without a list of them: that is many times the text.  Each word with the blanks after it
+    becomes one letter."""
+    return F.length(F.regexp_replace(F.ltrim(text, F.lit(" \t\n\x0b\x0c\r")), f"[^{BLANKS}]++[{BLANKS}]*+", "x")).cast("long")
+
+
 def size_class(size: Column) -> Column:
     """Integers that grow with the size: the number of its bits and its four leading ones (steps of 7 to 12 %)."""
     bits = F.length(F.bin(size + 1))
@@ -51,7 +61,7 @@ def targets(totals: DataFrame, cycle: tuple[int, ...] = CYCLE, share: float = 1.
 def mix(docs: DataFrame, cycle: tuple[int, ...] = CYCLE, share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
     """doc_id, source, size, source_size, target, copies (times the mix emits the document), taken."""
     ws = Workspace(docs.sparkSession, "mixing")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    size = F.coalesce(words(F.col("text")), F.lit(0).cast("long"))
     sized = ws.put(fields(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size")), "sized")
     sized = sized.withColumn("class", size_class(F.col("size"))).withColumn("salt", F.coalesce(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 2), F.lit("")))
     groups = sized.groupBy("source", "class", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("words"))

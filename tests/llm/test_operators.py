@@ -4,8 +4,11 @@ import json
 import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from dataclasses import replace
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -71,6 +74,26 @@ def test_mix(spark, hard, hard_rows, nothing):
     assert mixing.mix(only).first()["taken"] == 0
 
 
+def test_mix_counts_the_words_of_a_long_text_in_little_memory():
+    """24 MB of one-letter words in an executor of 640 MB: a list of them doesn't fit."""
+    code = """
+from pyspark.sql import SparkSession
+from ledgerfold.llm import mixing
+spark = SparkSession.builder.master("local[1]").config("spark.driver.memory", "640m").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate()
+docs = spark.range(1).selectExpr("'d' AS doc_id", "'s' AS source", "repeat('a ', 12000000) AS text")
+print("words", mixing.mix(docs).first()["size"])
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=300)
+    assert "words 12000000" in run.stdout, run.stderr[-2000:]
+
+
+def test_words_are_counted_as_the_pattern_finds_them(spark):
+    rng, signs = random.Random(5), " \t\n\x0b\x0c\r  ab$\\\\é😀\x85\x1c\x00\xa0\u2028"
+    texts = [None, "", " ", "\n\n", " a", "a ", "x" * 100_000, " " * 100_000, *("".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(2000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", mixing.words(F.col("text")).alias("n")).collect()
+    assert all(r["n"] == (None if r["text"] is None else len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))) for r in rows)
+
+
 @pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
